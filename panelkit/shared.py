@@ -29,4 +29,6 @@ def saved(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    # shuffle files go when the driver's collector finds their plan unused; otherwise those of all steps pile up
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
