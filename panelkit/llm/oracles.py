@@ -31,7 +31,9 @@ def _kind_sql(rank: int, kind: str, head: str, value: str, least: int) -> str:
   WHERE length(value) >= {least}"""
 
 
-_SPANS = " UNION ALL ".join(_kind_sql(i, *r) for i, r in enumerate(secret_scan.RULES))
+# the base kinds as any run with a smallest length
+_PLAIN = {"access": ("access", "", "AKIA[A-Z0-9]+", 16), "hex": ("hex", "", "[0-9a-f]+", 32)}
+_SPANS = " UNION ALL ".join(_kind_sql(i, *_PLAIN.get(r[0], r)) for i, r in enumerate(secret_scan.RULES))
 OP6_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 s AS ({_SPANS}),
