@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,19 +21,19 @@ WINDOW_WORDS = 20
 GRAM_WORDS = 4
 SHARD = 60_000     # segments to an index
 CROWDED = 60_000   # an anchor with more distinct segments is counted window by window
-BATCH = 1 << 18    # windows that are searched at a time
+BATCH = 1 << 20    # windows that are searched at a time
 
 _known: dict[bytes, int] = {}
 
 
-def read_words(text: bytes) -> np.ndarray:
+def read_words(text) -> np.ndarray:
     """64-bit hash of each word; bytes.split cuts at the six ASCII blanks that end a word."""
     import xxhash
 
     if len(_known) > 500_000:
         _known.clear()
     out = []
-    for w in text.split():
+    for w in bytes(text).split():
         h = _known.get(w)
         if h is None:
             h = _known[w] = xxhash.xxh64_intdigest(w)
@@ -79,29 +78,40 @@ class FMIndex:
             bwt = np.concatenate([bwt[bit == 0], bwt[bit == 1]])
         self.size = n
 
+        # where each symbol's zero-th occurrence ends up below the last level
+        self.floor = np.zeros(len(self.alphabet) + 1, np.int64)
+        self._descend(np.arange(len(self.alphabet) + 1), self.floor)
+
     def symbols(self, words: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.alphabet, words) + 1
 
+    def _descend(self, c: np.ndarray, at: np.ndarray) -> None:
+        for level, (packed, ones, zeros) in zip(range(self.height - 1, -1, -1), self.levels):
+            word = at >> 6
+            below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+            r = ones[word] + np.bitwise_count(packed[word] & below)
+            at[:] = np.where(c >> level & 1, zeros + r, at - r)
+
     def rank(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
         """How often symbol c stands before position i of the transform."""
-        start, i = np.zeros(len(c), np.int64), i.copy()
-        for level, (packed, ones, zeros) in zip(range(self.height - 1, -1, -1), self.levels):
-            one = (c >> level & 1).astype(bool)
-            for at in (start, i):
-                word = at >> 6
-                below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-                r = ones[word] + np.bitwise_count(packed[word] & below).astype(np.int64)
-                at[:] = np.where(one, zeros + r, at - r)
-        return i - start
-
-    def search(self, rows: np.ndarray, least: int = 2):
-        """(row numbers, interval starts) of the patterns (rows of symbols) that occur ``least`` times or more."""
-        alive = np.arange(len(rows))
-        lo, hi = np.zeros(len(rows), np.int64), np.full(len(rows), self.size, np.int64)
-        for k in range(rows.shape[1] - 1, -1, -1):
-            c = rows[alive, k]
-            both = self.rank(np.concatenate([c, c]), np.concatenate([lo, hi]))
-            lo, hi = self.before[c] + both[:len(c)], self.before[c] + both[len(c):]
+        at = i.copy()
+        self._descend(c, at)
+        return at - self.floor[c]
+
+    def search(self, text: np.ndarray, start: np.ndarray, length: int, least: int = 2):
+        """(which, interval start) of the patterns text[start: start + length] that occur ``least`` times or more.
+
+        All patterns go one symbol to the left at a time; patterns in the same state are looked up once.
+        """
+        alive = np.arange(len(start))
+        lo, hi = np.zeros(len(start), np.int64), np.full(len(start), self.size, np.int64)
+        for k in range(length - 1, -1, -1):
+            c = text[start[alive] + k]
+            _, one, back = np.unique(lo * len(self.before) + c, return_index=True, return_inverse=True)
+            sym = c[one]
+            both = self.rank(np.concatenate([sym, sym]), np.concatenate([lo[one], hi[one]]))
+            new_lo, new_hi = self.before[sym] + both[:len(sym)], self.before[sym] + both[len(sym):]
+            lo, hi = new_lo[back], new_hi[back]
             still = hi - lo >= least
             alive, lo, hi = alive[still], lo[still], hi[still]
             if not len(alive):
@@ -109,8 +119,8 @@ class FMIndex:
         return alive, lo
 
 
-def later_windows(words: np.ndarray, sizes: np.ndarray, first: np.ndarray, window: int) -> list[list[int]]:
-    """For each segment the windows that stand earlier in the corpus in another one; ``first`` has (doc, key, start) rows."""
+def later_windows(words: np.ndarray, sizes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, window) pairs: the windows that stand earlier in the corpus in another segment; ``first`` has (doc, key, start) rows."""
     index = FMIndex(words, sizes, window)
     text = index.symbols(words)
     base = np.cumsum(sizes) - sizes
@@ -119,19 +129,14 @@ def later_windows(words: np.ndarray, sizes: np.ndarray, first: np.ndarray, windo
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     at, start = [], []
     for a in range(0, len(owner), BATCH):  # stream the segments against the index
-        rows = text[(base[owner[a:a + BATCH]] + offset[a:a + BATCH])[:, None] + np.arange(window)]
-        hit, lo = index.search(rows)
+        hit, lo = index.search(text, base[owner[a:a + BATCH]] + offset[a:a + BATCH], window)
         at.append(hit + a)
         start.append(lo)
     at, start = np.concatenate(at), np.concatenate(start)
     seg, j = owner[at], offset[at]
-    doc, key, pos = first[seg, 0], first[seg, 1], first[seg, 2] + j
-    order = np.lexsort((pos, key, doc, start))
-    lead = np.concatenate([[True], start[order][1:] != start[order][:-1]]) if len(order) else np.empty(0, bool)
-    gone: list[list[int]] = [[] for _ in sizes]
-    for x in np.sort(order[~lead]).tolist():
-        gone[seg[x]].append(int(j[x]))
-    return gone
+    order = np.lexsort((first[seg, 2] + j, first[seg, 1], first[seg, 0], start))
+    later = np.concatenate([[False], start[order][1:] == start[order][:-1]]) if len(order) else np.empty(0, bool)
+    return seg[order[later]], j[order[later]]
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRAM_WORDS, shard: int = SHARD,
@@ -144,43 +149,36 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRA
     shorter than the window keep all; an empty table gives an empty result; columns besides doc_id and text are ignored.
     """
     texts = sw.keyed(docs)
-    found = sw.repeated_segments(texts.dropDuplicates(["doc_id", "key"]), read_words, window, gram)
-    few, many = sw.distinct_segments(found, crowded)
-    null_first = F.struct(F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias("doc_id"), "first.key", "first.start").alias("first")
+    found = sw.repeated_segments(texts, read_words, window, gram)
+    distinct = sw.distinct_segments(found, with_first=True)
+    few, many = sw.crowds(distinct, crowded)
+    least = F.lit(-(1 << 63)).cast("bigint")
 
     def work(table):
-        raw = table.column("seg").combine_chunks()
-        words = np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in raw), np.uint64)
-        sizes = table.column("count").to_numpy().astype(np.int64) + window - 1
-        f = table.column("first").combine_chunks()
-        first = np.stack([f.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "key", "start")], axis=1)
-        gone = later_windows(words, sizes, first, window)
-        at = [i for i, g in enumerate(gone) if g]
-        if at:
-            yield pa.RecordBatch.from_arrays(
-                [table.column(c).combine_chunks().take(pa.array(at)) for c in ("gram", "digest")] + [pa.array([gone[i] for i in at], pa.list_(pa.int32()))],
-                names=["gram", "digest", "gone"])
-
-    flags = sw.by_shard(few.select("gram", "digest", "count", "seg", null_first), work, shard, "gram bigint, digest binary, gone array<int>")
-    single = sw.single_windows(many, window, 8).withColumn("place", F.struct(
-        "first.doc_id", "first.key", (F.col("first.start") + F.col("j")).alias("start"))).drop("first")
+        words = np.frombuffer(b"".join(sw.texts_of(table.column("seg").combine_chunks())), np.uint64)
+        sizes = sw.count_of(table.column("at").to_numpy()) + window - 1
+        first = np.stack([table.column(c).to_numpy() for c in ("f_id", "f_key", "f_start")], axis=1)
+        return later_windows(words, sizes, first, window)
+
+    flags = sw.by_shard(few.select("gram", "digest", "at", "seg", F.coalesce("first.doc_id", least).alias("f_id"), F.col(
+        "first.key").alias("f_key"), F.shiftright("first.at", 20).alias("f_start")), work, shard)
+    single = sw.single_windows(many, window, 8).join(many.select("gram", "digest", "first"), ["gram", "digest"]).select(
+        "gram", "digest", "j", "w", F.struct("first.doc_id", "first.key", (F.shiftright("first.at", 20) + F.col("j")).alias("start")).alias("place"))
     lead = single.groupBy("w").agg(F.min("place").alias("lead"))
-    later = single.join(lead, "w").where(F.col("place") != F.col("lead"))
+    later = single.join(lead, "w").where(~F.col("place").eqNullSafe(F.col("lead")))
     flags = saved(flags.union(later.groupBy("gram", "digest").agg(F.collect_list("j").alias("gone"))), "window-flags")
-    place = found.select("doc_id", "key", "start", "count", "gram", "digest")
-    copies = place.groupBy("gram", "digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "start")).alias("first"))
-    copies = copies.where("n > 1").select("gram", "digest", "first")
-    whole = place.join(copies, ["gram", "digest"]).where(~F.struct("doc_id", "key", "start").eqNullSafe(F.col("first"))).select(
-        "doc_id", "key", "start", "count", F.lit(None).cast("array<int>").alias("gone"))
-    part = place.join(flags, ["gram", "digest"]).select("doc_id", "key", "start", "count", "gone")
-    return sw.finished(texts, whole.union(part), cut_words(window), {
-        "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"})
+    verdict = distinct.select("gram", "digest", "n", "first").join(flags, ["gram", "digest"], "left").where(
+        (F.col("n") > 1) | F.col("gone").isNotNull()).select("gram", "digest", "first", "gone")
+    is_first = F.struct("doc_id", "key", "at").eqNullSafe(F.col("first"))
+    hits = found.select("doc_id", "key", "at", "gram", "digest").join(verdict, ["gram", "digest"]).where(
+        ~is_first | F.col("gone").isNotNull()).select("doc_id", "key", "at", F.when(is_first, F.col("gone")).alias("gone"))
+    return sw.finished(texts, hits, cut_words(window), {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"})
 
 
 def cut_words(window: int):
-    def finish(text: bytes, marks):
-        words = text.split()
-        gone = sw.covered(marks, len(words), window)
+    def finish(text, start, count):
+        words = bytes(text).split()
+        gone = sw.covered(start, count, len(words), window)
         kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
         return len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest()
 

@@ -14,7 +14,6 @@ import tempfile
 from pathlib import Path
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +26,7 @@ SHARD = 40_000     # strings that are built together
 CROWDED = 40_000   # an anchor with more distinct strings is counted window by window
 
 
-def read_bytes(text: bytes) -> np.ndarray:
+def read_bytes(text) -> np.ndarray:
     return np.frombuffer(text, np.uint8)
 
 
@@ -76,17 +75,20 @@ def column_rounds(columns: Path, n: int, rounds: int, folder: Path, limit: int):
             old, new = new, old
 
 
-def repeated_windows(seg: list[bytes], shift: np.ndarray, count: np.ndarray, window: int, gram: int) -> list[list[int]]:
-    """For each string the windows whose symbols another string has, too; strings lie at their anchors."""
-    n, span = len(seg), window - gram + 1
+def repeated_windows(flat: np.ndarray, at: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(string, window) pairs: the windows whose symbols another string has, too.
+
+    ``flat`` has the strings one after another, ``at`` their packed places; they are laid side by side at their anchors.
+    """
+    n, span = len(at), window - gram + 1
+    count, shift = sw.count_of(at), sw.shift_of(at)
+    size = count + window - 1
+    base = np.cumsum(size) - size
     rounds = window + span - 1  # columns -(span - 1) .. window - 1 from the anchor on
-    gone: list[list[int]] = [[] for _ in seg]
+    string, place = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     with tempfile.TemporaryDirectory() as name:
         folder = Path(name)
-        part = max(1, (1 << 24) // max(n, 1))
-        size = np.fromiter(map(len, seg), np.int64, n)
-        flat = np.frombuffer(b"".join(seg), np.uint8)
-        base = np.cumsum(size) - size
+        part = max(1, (1 << 22) // max(n, 1))
         with open(folder / "columns", "wb") as f:  # from the last column to the first
             for top in range(window - 1, -span, -part):
                 x = np.arange(top, max(top - part, -span), -1)[:, None] + shift[None, :]
@@ -100,10 +102,12 @@ def repeated_windows(seg: list[bytes], shift: np.ndarray, count: np.ndarray, win
                 continue
             full = shared >= window
             full[:-1] |= full[1:]
-            for i in order[full].tolist():
-                if 0 <= x + shift[i] < count[i]:
-                    gone[i].append(int(x + shift[i]))
-    return gone
+            i = order[full].astype(np.int64)
+            j = x + shift[i]
+            good = (j >= 0) & (j < count[i])
+            string.append(i[good])
+            place.append(j[good])
+    return np.concatenate(string), np.concatenate(place)
 
 
 def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_BYTES, shard: int = SHARD,
@@ -117,33 +121,29 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_B
     """
     texts = sw.keyed(docs)
     found = sw.repeated_segments(texts, read_bytes, window, gram)
-    few, many = sw.distinct_segments(found, crowded)
+    distinct = sw.distinct_segments(found, with_first=False)
+    few, many = sw.crowds(distinct, crowded)
 
     def work(table):
-        seg = [x.as_buffer().to_pybytes() for x in table.column("seg").combine_chunks()]
-        gone = repeated_windows(seg, table.column("shift").to_numpy().astype(np.int64), table.column("count").to_numpy().astype(np.int64), window, gram)
-        at = [i for i, g in enumerate(gone) if g]
-        if at:
-            yield pa.RecordBatch.from_arrays(
-                [table.column(c).combine_chunks().take(pa.array(at)) for c in ("gram", "digest")] + [pa.array([gone[i] for i in at], pa.list_(pa.int32()))],
-                names=["gram", "digest", "gone"])
-
-    flags = sw.by_shard(few.select("gram", "digest", "shift", "count", "seg"), work, shard, "gram bigint, digest binary, gone array<int>")
-    single = sw.single_windows(many, window, 1).select("gram", "digest", "j", "w")
-    twice = single.groupBy("w").agg(F.count("*").alias("n")).where("n > 1")
-    flags = flags.union(single.join(twice, "w").groupBy("gram", "digest").agg(F.collect_list("j").alias("gone")))
-    flags = saved(flags, "window-flags")
-    place = found.select("doc_id", "key", "start", "count", "gram", "digest")
-    copies = place.groupBy("gram", "digest").agg(F.count("*").alias("n")).where("n > 1").select("gram", "digest")
-    whole = place.join(copies, ["gram", "digest"]).select("doc_id", "key", "start", "count", F.lit(None).cast("array<int>").alias("gone"))
-    part = place.join(flags, ["gram", "digest"]).select("doc_id", "key", "start", "count", "gone")
-    return sw.finished(texts, whole.union(part), cut_bytes(window), {
+        flat = np.frombuffer(b"".join(sw.texts_of(table.column("seg").combine_chunks())), np.uint8)
+        segment, j = repeated_windows(flat, table.column("at").to_numpy(), window, gram)
+        alone = table.column("n").to_numpy()[segment] == 1  # a string that occurs twice goes whole
+        return segment[alone], j[alone]
+
+    flags = sw.by_shard(few.select("gram", "digest", "at", "n", "seg"), work, shard)
+    single = sw.single_windows(many, window, 1)
+    twice = single.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
+    flags = saved(flags.union(single.join(twice, "w").groupBy("gram", "digest").agg(F.collect_list("j").alias("gone"))), "window-flags")
+    verdict = distinct.select("gram", "digest", "n").join(flags, ["gram", "digest"], "left").where(
+        (F.col("n") > 1) | F.col("gone").isNotNull()).select("gram", "digest", F.when(F.col("n") == 1, F.col("gone")).alias("gone"))
+    hits = found.select("doc_id", "key", "at", "gram", "digest").join(verdict, ["gram", "digest"])
+    return sw.finished(texts, hits, cut_bytes(window), {
         "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"})
 
 
 def cut_bytes(window: int):
-    def finish(text: bytes, marks):
-        gone = sw.covered(marks, len(text), window)
+    def finish(text, start, count):
+        gone = sw.covered(start, count, len(text), window)
         kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
         spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
         return len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()

@@ -58,151 +58,198 @@ def segments(symbols: np.ndarray, window: int, gram: int):
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id (bigint), key (hash of the text) and the text as bytes; a null text as an empty one."""
     text = F.coalesce("text", F.lit(""))
+    # texts travel to Python in batches of this many rows, several of which are held at a time
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
 
 
-def _texts(batch):
-    return (t.as_buffer().to_pybytes() for t in batch.column("text"))
+def texts_of(column) -> list[memoryview]:
+    """The bytes of an Arrow binary column without nulls."""
+    if column.type == pa.large_binary():
+        column = column.cast(pa.binary())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].tolist()
+    view = memoryview(data) if data is not None else memoryview(b"")
+    return [view[a:b] for a, b in zip(at, at[1:])]
 
 
 def same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
+# Where a segment lies: start, count and shift in one number that sorts by start; both counts are below 1024.
+
+def _packed(start, count, shift):
+    return start << 20 | count << 10 | shift
+
+
+def start_of(at):
+    return at >> 20
+
+
+def count_of(at):
+    return at >> 10 & 1023
+
+
+def shift_of(at):
+    return at & 1023
+
+
 def repeated_segments(docs: DataFrame, read, window: int, gram: int) -> DataFrame:
     """Stored table of all segments whose anchor occurs more than once.
 
-    ``docs`` is ``keyed``; ``read`` makes an array of symbols from a text. Columns: doc_id, key, start, count, shift,
-    gram (anchor hash), digest (of the symbols), seg (the symbols as bytes).
+    ``docs`` is ``keyed``; ``read`` makes an array of symbols from a text. Columns: doc_id, key, at (packed place),
+    gram (anchor hash), digest (64-bit hash of the symbols; read together with gram) and seg (the symbols as bytes).
     """
+    if not 0 < gram <= window < 1024:
+        raise ValueError("windows must have fewer than 1024 symbols and hold a gram")
 
     def cut(batches):
         for b in batches:
-            at, parts = [], []
-            for i, t in enumerate(_texts(b)):
-                s = segments(read(t), window, gram)
-                at.append(np.full(len(s[0]), i, np.int32))
-                parts.append(s)
-            start, count, shift, g = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.int64)] * 4
-            at = pa.array(np.concatenate(at) if at else [], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(at), b.column("key").take(at), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int16)), pa.array(shift.astype(np.int16)), pa.array(g.astype(np.int64))],
-                names=["doc_id", "key", "start", "count", "shift", "gram"])
+            row, parts = [], []
+            for i, t in enumerate(texts_of(b.column("text"))):
+                start, count, shift, g = segments(read(t), window, gram)
+                if len(start):
+                    row.append(np.full(len(start), i, np.int32))
+                    parts.append((_packed(start, count, shift), g))
+            if parts:
+                row = pa.array(np.concatenate(row))
+                at, g = (np.concatenate(x) for x in zip(*parts))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").take(row), b.column("key").take(row), pa.array(at), pa.array(g)], names=["doc_id", "key", "at", "gram"])
 
-    anchors = saved(docs.mapInArrow(cut, "doc_id bigint, key bigint, start int, count smallint, shift smallint, gram bigint"), "anchors")
+    anchors = saved(docs.mapInArrow(cut, "doc_id bigint, key bigint, at bigint, gram bigint"), "anchors")
     again = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     wanted = anchors.join(again, "gram").groupBy("doc_id", "key").agg(
-        F.collect_set(F.struct("start", "count", "shift", "gram")).alias("want")).toDF("w_id", "w_key", "want")
+        F.collect_set(F.struct("at", "gram")).alias("want")).toDF("w_id", "w_key", "want")
     size = read(b"").itemsize
-    schema = "doc_id bigint, key bigint, start int, count smallint, shift smallint, gram bigint, digest binary, seg binary"
 
     def fetch(batches):
         import xxhash
 
+        names = ["doc_id", "key", "at", "gram", "digest", "seg"]
         for b in batches:
             want = b.column("want")
-            rows, offsets = want.flatten(), want.offsets.to_numpy() - want.offsets[0].as_py()
-            start, count = rows.field("start").to_numpy(), rows.field("count").to_numpy()
-            ends = start.astype(np.int64) + count + window - 1
-            for i, t in enumerate(_texts(b)):  # a batch for each text: segments take several times its size
-                a, z = int(offsets[i]), int(offsets[i + 1])
-                raw = read(t).tobytes()
-                segs = [raw[s * size:e * size] for s, e in zip(start[a:z].tolist(), ends[a:z].tolist())]
-                digests = [xxhash.xxh3_128_digest(s) for s in segs]
-                part, at = rows.slice(a, z - a), pa.array([i] * (z - a), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(at), b.column("key").take(at), *[part.field(c) for c in ("start", "count", "shift", "gram")], pa.array(digests, pa.binary()), pa.array(segs, pa.binary())],
-                    names=["doc_id", "key", "start", "count", "shift", "gram", "digest", "seg"])
+            rows, offsets = want.flatten(), (want.offsets.to_numpy() - want.offsets[0].as_py()).tolist()
+            at = rows.field("at").to_numpy()
+            begin = start_of(at) * size
+            end = begin + (count_of(at) + window - 1) * size
+            held, weight, first = [], 0, 0
+            texts = texts_of(b.column("text"))
+            for i, t in enumerate(texts):  # segments take several times the text's room, so batches go by bytes
+                raw = t if size == 1 else memoryview(read(t)).cast("B")
+                held += [raw[x:y] for x, y in zip(begin[offsets[i]:offsets[i + 1]].tolist(), end[offsets[i]:offsets[i + 1]].tolist())]
+                weight += len(raw) * 4
+                if weight > 1 << 23 or i + 1 == len(texts):
+                    a, z = offsets[first], offsets[i + 1]
+                    row = pa.array(np.repeat(np.arange(first, i + 1, dtype=np.int32), np.diff(offsets[first:i + 2])))
+                    digest = np.fromiter(map(xxhash.xxh3_64_intdigest, held), np.uint64, len(held)).view(np.int64)
+                    part = rows.slice(a, z - a)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id").take(row), b.column("key").take(row), part.field("at"), part.field("gram"), pa.array(digest), pa.array(held, pa.binary())], names=names)
+                    held, weight, first = [], 0, i + 1
 
     found = docs.join(wanted, same("doc_id", "w_id") & (F.col("key") == F.col("w_key"))).select("doc_id", "key", "text", "want")
-    return saved(found.mapInArrow(fetch, schema), "segments", "zstd")
+    return saved(found.mapInArrow(fetch, "doc_id bigint, key bigint, at bigint, gram bigint, digest bigint, seg binary"), "segments", "zstd")
 
 
-def distinct_segments(found: DataFrame, crowded: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct segments as two stored tables: of anchors with 2 to ``crowded`` of them, and of anchors with more.
+def distinct_segments(found: DataFrame, with_first: bool) -> DataFrame:
+    """Stored table of distinct segments: gram, digest, n (how often it occurs), at (of any), seg, and first (its first place)."""
+    first = [F.min(F.struct("doc_id", "key", "at")).alias("first")] if with_first else []
+    return saved(found.groupBy("gram", "digest").agg(
+        F.count("*").alias("n"), F.first("at").alias("at"), F.first("seg").alias("seg"), *first), "distinct-segments", "zstd")
 
-    Columns: gram, digest, shift, count, seg and first (the first occurrence: doc_id, key, start). Anchors with a
-    single distinct segment are in neither: nothing differs there.
-    """
-    names = found.groupBy("gram", "digest").agg(F.count("*").alias("n"))
-    per = names.groupBy("gram").agg(F.count("*").alias("d")).where("d > 1")
-    rows = found.join(per, "gram").groupBy("gram", "digest").agg(
-        F.min(F.struct("doc_id", "key", "start")).alias("first"), F.first("shift").alias("shift"),
-        F.first("count").alias("count"), F.first("seg").alias("seg"), F.first("d").alias("d"))
-    rows = saved(rows, "distinct-segments", "zstd")
+
+def crowds(distinct: DataFrame, crowded: int) -> tuple[DataFrame, DataFrame]:
+    """The distinct segments of anchors with 2 to ``crowded`` of them, and of anchors with more; a lone one differs from nothing."""
+    per = distinct.groupBy("gram").agg(F.count("*").alias("d")).where("d > 1")
+    rows = distinct.join(per, "gram")
     return rows.where(F.col("d") <= crowded).drop("d"), rows.where(F.col("d") > crowded).drop("d")
 
 
-def by_shard(rows: DataFrame, work, shard: int, schema: str) -> DataFrame:
-    """Apply ``work`` (a table of whole anchors, about ``shard`` rows or one anchor) to shards of ``rows``, streamed by anchor."""
+def by_shard(rows: DataFrame, work, shard: int) -> DataFrame:
+    """gram, digest, gone of ``rows``: ``work`` gets tables of whole anchors, about ``shard`` rows or one anchor, streamed by anchor."""
 
     def run(batches):
         held: list[pa.RecordBatch] = []
         for b in batches:
-            if not b.num_rows:
-                continue
-            held.append(b)
+            if b.num_rows:
+                held.append(b)
             if sum(x.num_rows for x in held) >= shard:
                 table = pa.Table.from_batches(held).combine_chunks()
                 g = table.column("gram").to_numpy()
                 cut = int(np.searchsorted(g, g[-1]))  # the last anchor may go on
                 if cut:
-                    yield from work(table.slice(0, cut))
-                    held = table.slice(cut).combine_chunks().to_batches()
-                else:
-                    held = table.to_batches()
+                    yield from marked(table.slice(0, cut))
+                held = table.slice(cut).combine_chunks().to_batches()
         if held:
-            yield from work(pa.Table.from_batches(held).combine_chunks())
+            yield from marked(pa.Table.from_batches(held).combine_chunks())
+
+    def marked(table):
+        segment, window = work(table)
+        order = np.lexsort((window, segment))
+        segment, window = segment[order], window[order]
+        at, first = np.unique(segment, return_index=True)
+        if len(at):
+            offsets = pa.array(np.append(first, len(segment)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [table.column(c).combine_chunks().take(pa.array(at)) for c in ("gram", "digest")]
+                + [pa.ListArray.from_arrays(offsets, pa.array(window.astype(np.int32)))], names=["gram", "digest", "gone"])
 
-    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, schema)
+    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram bigint, digest bigint, gone array<int>")
 
 
 def single_windows(rows: DataFrame, window: int, size: int) -> DataFrame:
-    """The windows of segments, each on its own: gram, digest, j (window of the segment), w (digest of the window), first."""
+    """The windows of segments, each on its own: gram, digest, j (window of the segment), w (128-bit digest of the window)."""
 
     def run(batches):
         import xxhash
 
         for b in batches:
-            for i in range(b.num_rows):
-                seg, n = b.column("seg")[i].as_buffer().to_pybytes(), b.column("count")[i].as_py()
-                ws = [xxhash.xxh3_128_digest(seg[j * size:(j + window) * size]) for j in range(n)]
-                at = pa.array([i] * n, pa.int32())
+            count = count_of(b.column("at").to_numpy())
+            segs = texts_of(b.column("seg"))
+            for a in range(0, len(segs), 200):
+                n = count[a:a + 200]
+                row = pa.array(np.repeat(np.arange(a, a + len(n), dtype=np.int32), n))
+                ws = [xxhash.xxh3_128_digest(s[j * size:(j + window) * size]) for s, m in zip(segs[a:a + 200], n.tolist()) for j in range(m)]
+                j = np.concatenate([np.arange(m, dtype=np.int32) for m in n])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("gram").take(at), b.column("digest").take(at), pa.array(range(n), pa.int32()), pa.array(ws, pa.binary()), b.column("first").take(at)],
-                    names=["gram", "digest", "j", "w", "first"])
+                    [b.column("gram").take(row), b.column("digest").take(row), pa.array(j), pa.array(ws, pa.binary())], names=["gram", "digest", "j", "w"])
 
-    return rows.select("gram", "digest", "seg", "count", "first").mapInArrow(
-        run, "gram bigint, digest binary, j int, w binary, first struct<doc_id:bigint,key:bigint,start:int>")
+    return rows.select("gram", "digest", "seg", "at").mapInArrow(run, "gram bigint, digest bigint, j int, w binary")
 
 
-def covered(marks: list[tuple[int, int]], n: int, window: int) -> np.ndarray:
-    """Which of n symbols a window covers; ``marks`` are (first window, how many windows)."""
-    edge = np.zeros(n + 1, np.int64)
-    for start, count in marks:
-        edge[start] += 1
-        edge[min(n, start + count + window - 1)] -= 1
+def covered(start: np.ndarray, count: np.ndarray, n: int, window: int) -> np.ndarray:
+    """Which of n symbols a window covers; runs of ``count`` windows begin at ``start``."""
+    edge = np.bincount(start, minlength=n + 1) - np.bincount(np.minimum(n, start + count + window - 1), minlength=n + 1)
     return np.cumsum(edge[:n]) > 0
 
 
 def finished(docs: DataFrame, hits: DataFrame, finish, results: dict[str, str]) -> DataFrame:
-    """doc_id and ``results`` (name: type) of ``finish(text, marks)`` for every row of ``docs``.
+    """doc_id and ``results`` (name: type) of ``finish(text, starts, counts)`` for every row of ``docs``.
 
-    ``hits`` has doc_id, key, start, count and gone (which windows of the segment; null: all).
+    ``hits`` has doc_id, key, at and gone (which windows of the segment; null: all).
     """
-    per = hits.groupBy("doc_id", "key").agg(
-        F.collect_list(F.struct("start", "count", "gone")).alias("hits")).toDF("h_id", "h_key", "hits")
-    rows = docs.join(per, same("doc_id", "h_id") & (F.col("key") == F.col("h_key")), "left").select("doc_id", "text", "hits")
+    per = hits.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "gone")).alias("hits")).toDF("h_id", "h_key", "hits")
+    rows = docs.join(per, same("doc_id", "h_id") & (F.col("key") == F.col("h_key")), "left").select(
+        "doc_id", "text", F.coalesce("hits", F.array().cast("array<struct<at:bigint,gone:array<int>>>")).alias("hits"))
     kinds = {"bigint": pa.int64(), "string": pa.string()}
 
     def run(batches):
         for b in batches:
+            h = b.column("hits")
+            marks, bound = h.flatten(), (h.offsets.to_numpy() - h.offsets[0].as_py()).tolist()
+            at, lists = marks.field("at").to_numpy(), marks.field("gone")
+            whole = lists.is_null().to_numpy(zero_copy_only=False)
+            js = lists.flatten().to_numpy()
+            size = np.where(whole, 0, lists.value_lengths().fill_null(0).to_numpy())
+            ends = np.cumsum(size)
             out = []
-            for t, h in zip(_texts(b), b.column("hits")):
-                marks = []
-                for x in (h.as_py() or ()):
-                    marks += [(x["start"], x["count"])] if x["gone"] is None else [(x["start"] + j, 1) for j in x["gone"]]
-                out.append(finish(t, marks))
+            for i, t in enumerate(texts_of(b.column("text"))):
+                s = slice(bound[i], bound[i + 1])
+                w, a, m = whole[s], at[s], size[s]
+                single = np.repeat(start_of(a), m) + js[ends[s][0] - m[0]:ends[s][-1]] if len(a) else a
+                out.append(finish(t, np.concatenate([start_of(a)[w], single]), np.concatenate([count_of(a)[w], np.ones(len(single), np.int64)])))
             cols = list(zip(*out)) or [()] * len(results)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *[pa.array(c, kinds[k]) for c, k in zip(cols, results.values())]], names=["doc_id", *results])
