@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import superwindows as sw
-from panelkit.shared import saved
+from panelkit.shared import discard, saved
 
 WINDOW_WORDS = 20
 GRAM_WORDS = 4
-SHARD = 60_000     # segments to an index
+SHARD = 25_000     # segments to an index
 CROWDED = 60_000   # an anchor with more distinct segments is counted window by window
-BATCH = 1 << 20    # windows that are searched at a time
+BATCH = 1 << 18    # windows that are searched at a time
 
 _known: dict[bytes, int] = {}
 
@@ -41,6 +41,15 @@ def read_words(text) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
+def word_slices(text, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+    """Words start..end of a text, joined by one space."""
+    words = bytes(text).split()
+    flat = b" ".join(words)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(size + 1) - 1
+    return [flat[a:b] for a, b in zip((ends - size)[start].tolist(), ends[end - 1].tolist())]
+
+
 class FMIndex:
     """Backward search over strings of symbols, for patterns of up to ``depth`` symbols."""
 
@@ -149,26 +158,27 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRA
     shorter than the window keep all; an empty table gives an empty result; columns besides doc_id and text are ignored.
     """
     texts = sw.keyed(docs)
-    found = sw.repeated_segments(texts, read_words, window, gram)
+    found = sw.repeated_segments(texts, read_words, word_slices, window, gram)
     distinct = sw.distinct_segments(found, with_first=True)
     few, many = sw.crowds(distinct, crowded)
     least = F.lit(-(1 << 63)).cast("bigint")
 
     def work(table):
-        words = np.frombuffer(b"".join(sw.texts_of(table.column("seg").combine_chunks())), np.uint64)
+        words = read_words(b" ".join(sw.texts_of(table.column("seg").combine_chunks())))
         sizes = sw.count_of(table.column("at").to_numpy()) + window - 1
         first = np.stack([table.column(c).to_numpy() for c in ("f_id", "f_key", "f_start")], axis=1)
         return later_windows(words, sizes, first, window)
 
     flags = sw.by_shard(few.select("gram", "digest", "at", "seg", F.coalesce("first.doc_id", least).alias("f_id"), F.col(
         "first.key").alias("f_key"), F.shiftright("first.at", 20).alias("f_start")), work, shard)
-    single = sw.single_windows(many, window, 8).join(many.select("gram", "digest", "first"), ["gram", "digest"]).select(
+    single = sw.single_windows(many, word_slices, window).join(many.select("gram", "digest", "first"), ["gram", "digest"]).select(
         "gram", "digest", "j", "w", F.struct("first.doc_id", "first.key", (F.shiftright("first.at", 20) + F.col("j")).alias("start")).alias("place"))
     lead = single.groupBy("w").agg(F.min("place").alias("lead"))
     later = single.join(lead, "w").where(~F.col("place").eqNullSafe(F.col("lead")))
     flags = saved(flags.union(later.groupBy("gram", "digest").agg(F.collect_list("j").alias("gone"))), "window-flags")
-    verdict = distinct.select("gram", "digest", "n", "first").join(flags, ["gram", "digest"], "left").where(
-        (F.col("n") > 1) | F.col("gone").isNotNull()).select("gram", "digest", "first", "gone")
+    verdict = saved(distinct.select("gram", "digest", "n", "first").join(flags, ["gram", "digest"], "left").where(
+        (F.col("n") > 1) | F.col("gone").isNotNull()).select("gram", "digest", "first", "gone"), "verdict")
+    discard(distinct)
     is_first = F.struct("doc_id", "key", "at").eqNullSafe(F.col("first"))
     hits = found.select("doc_id", "key", "at", "gram", "digest").join(verdict, ["gram", "digest"]).where(
         ~is_first | F.col("gone").isNotNull()).select("doc_id", "key", "at", F.when(is_first, F.col("gone")).alias("gone"))

@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import superwindows as sw
-from panelkit.shared import saved
+from panelkit.shared import discard, saved
 
 WINDOW_BYTES = 200
 GRAM_BYTES = 32
-SHARD = 40_000     # strings that are built together
+SHARD = 25_000     # strings that are built together
 CROWDED = 40_000   # an anchor with more distinct strings is counted window by window
 
 
@@ -30,6 +30,11 @@ def read_bytes(text) -> np.ndarray:
     return np.frombuffer(text, np.uint8)
 
 
+def byte_slices(text, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+    text = bytes(text)
+    return [text[a:b] for a, b in zip(start.tolist(), end.tolist())]
+
+
 def _range_minima(prefix: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """min(prefix[i + 1 .. j]) for each pair i < j."""
     size = j - i
@@ -120,7 +125,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_B
     is an id like others; an empty table gives an empty result; columns besides doc_id and text are ignored.
     """
     texts = sw.keyed(docs)
-    found = sw.repeated_segments(texts, read_bytes, window, gram)
+    found = sw.repeated_segments(texts, read_bytes, byte_slices, window, gram)
     distinct = sw.distinct_segments(found, with_first=False)
     few, many = sw.crowds(distinct, crowded)
 
@@ -131,11 +136,12 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_B
         return segment[alone], j[alone]
 
     flags = sw.by_shard(few.select("gram", "digest", "at", "n", "seg"), work, shard)
-    single = sw.single_windows(many, window, 1)
+    single = sw.single_windows(many, byte_slices, window)
     twice = single.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
     flags = saved(flags.union(single.join(twice, "w").groupBy("gram", "digest").agg(F.collect_list("j").alias("gone"))), "window-flags")
-    verdict = distinct.select("gram", "digest", "n").join(flags, ["gram", "digest"], "left").where(
-        (F.col("n") > 1) | F.col("gone").isNotNull()).select("gram", "digest", F.when(F.col("n") == 1, F.col("gone")).alias("gone"))
+    verdict = saved(distinct.select("gram", "digest", "n").join(flags, ["gram", "digest"], "left").where(
+        (F.col("n") > 1) | F.col("gone").isNotNull()).select("gram", "digest", F.when(F.col("n") == 1, F.col("gone")).alias("gone")), "verdict")
+    discard(distinct)
     hits = found.select("doc_id", "key", "at", "gram", "digest").join(verdict, ["gram", "digest"])
     return sw.finished(texts, hits, cut_bytes(window), {
         "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"})

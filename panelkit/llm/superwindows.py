@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.shared import saved
+from panelkit.shared import discard, saved
 
 CHUNK = 1 << 19          # windows that are cut at a time; positions inside a chunk take 20 bits
 _LOW = np.uint64((1 << 20) - 1)
@@ -95,11 +95,12 @@ def shift_of(at):
     return at & 1023
 
 
-def repeated_segments(docs: DataFrame, read, window: int, gram: int) -> DataFrame:
+def repeated_segments(docs: DataFrame, read, slices, window: int, gram: int) -> DataFrame:
     """Stored table of all segments whose anchor occurs more than once.
 
-    ``docs`` is ``keyed``; ``read`` makes an array of symbols from a text. Columns: doc_id, key, at (packed place),
-    gram (anchor hash), digest (64-bit hash of the symbols; read together with gram) and seg (the symbols as bytes).
+    ``docs`` is ``keyed``; ``read(text)`` makes an array of symbols, ``slices(text, starts, ends)`` the bytes of
+    symbol ranges. Columns: doc_id, key, at (packed place), gram (anchor hash), digest (64-bit hash of the bytes; read
+    together with gram) and seg (the bytes).
     """
     if not 0 < gram <= window < 1024:
         raise ValueError("windows must have fewer than 1024 symbols and hold a gram")
@@ -119,10 +120,10 @@ def repeated_segments(docs: DataFrame, read, window: int, gram: int) -> DataFram
                     [b.column("doc_id").take(row), b.column("key").take(row), pa.array(at), pa.array(g)], names=["doc_id", "key", "at", "gram"])
 
     anchors = saved(docs.mapInArrow(cut, "doc_id bigint, key bigint, at bigint, gram bigint"), "anchors")
-    again = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # stored, so that the join below sees two plain tables and can split a gram that very many segments have
+    again = saved(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
     wanted = anchors.join(again, "gram").groupBy("doc_id", "key").agg(
         F.collect_set(F.struct("at", "gram")).alias("want")).toDF("w_id", "w_key", "want")
-    size = read(b"").itemsize
 
     def fetch(batches):
         import xxhash
@@ -132,14 +133,13 @@ def repeated_segments(docs: DataFrame, read, window: int, gram: int) -> DataFram
             want = b.column("want")
             rows, offsets = want.flatten(), (want.offsets.to_numpy() - want.offsets[0].as_py()).tolist()
             at = rows.field("at").to_numpy()
-            begin = start_of(at) * size
-            end = begin + (count_of(at) + window - 1) * size
+            begin = start_of(at)
+            end = begin + count_of(at) + window - 1
             held, weight, first = [], 0, 0
             texts = texts_of(b.column("text"))
             for i, t in enumerate(texts):  # segments take several times the text's room, so batches go by bytes
-                raw = t if size == 1 else memoryview(read(t)).cast("B")
-                held += [raw[x:y] for x, y in zip(begin[offsets[i]:offsets[i + 1]].tolist(), end[offsets[i]:offsets[i + 1]].tolist())]
-                weight += len(raw) * 4
+                held += slices(t, begin[offsets[i]:offsets[i + 1]], end[offsets[i]:offsets[i + 1]])
+                weight += len(t) * 4
                 if weight > 1 << 23 or i + 1 == len(texts):
                     a, z = offsets[first], offsets[i + 1]
                     row = pa.array(np.repeat(np.arange(first, i + 1, dtype=np.int32), np.diff(offsets[first:i + 2])))
@@ -150,7 +150,10 @@ def repeated_segments(docs: DataFrame, read, window: int, gram: int) -> DataFram
                     held, weight, first = [], 0, i + 1
 
     found = docs.join(wanted, same("doc_id", "w_id") & (F.col("key") == F.col("w_key"))).select("doc_id", "key", "text", "want")
-    return saved(found.mapInArrow(fetch, "doc_id bigint, key bigint, at bigint, gram bigint, digest bigint, seg binary"), "segments", "zstd")
+    out = saved(found.mapInArrow(fetch, "doc_id bigint, key bigint, at bigint, gram bigint, digest bigint, seg binary"), "segments", "zstd")
+    discard(anchors)
+    discard(again)
+    return out
 
 
 def distinct_segments(found: DataFrame, with_first: bool) -> DataFrame:
@@ -199,7 +202,7 @@ def by_shard(rows: DataFrame, work, shard: int) -> DataFrame:
     return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram bigint, digest bigint, gone array<int>")
 
 
-def single_windows(rows: DataFrame, window: int, size: int) -> DataFrame:
+def single_windows(rows: DataFrame, slices, window: int) -> DataFrame:
     """The windows of segments, each on its own: gram, digest, j (window of the segment), w (128-bit digest of the window)."""
 
     def run(batches):
@@ -211,7 +214,7 @@ def single_windows(rows: DataFrame, window: int, size: int) -> DataFrame:
             for a in range(0, len(segs), 200):
                 n = count[a:a + 200]
                 row = pa.array(np.repeat(np.arange(a, a + len(n), dtype=np.int32), n))
-                ws = [xxhash.xxh3_128_digest(s[j * size:(j + window) * size]) for s, m in zip(segs[a:a + 200], n.tolist()) for j in range(m)]
+                ws = [xxhash.xxh3_128_digest(x) for s, m in zip(segs[a:a + 200], n.tolist()) for x in slices(s, np.arange(m), np.arange(m) + window)]
                 j = np.concatenate([np.arange(m, dtype=np.int32) for m in n])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("gram").take(row), b.column("digest").take(row), pa.array(j), pa.array(ws, pa.binary())], names=["gram", "digest", "j", "w"])
