@@ -27,7 +27,7 @@ f AS (SELECT * FROM (VALUES {", ".join(f"({i}, {d}, {m}, {f})" for i, (d, m, f)
 val AS (SELECT g.squad, o, d, m, f, round(g.s + a.s + b.s + c.s, 9) AS v FROM f JOIN pre g ON g.position = 'GK' AND g.k = 1 JOIN pre a ON a.squad = g.squad AND a.position = 'DEF' AND a.k = d
   JOIN pre b ON b.squad = g.squad AND b.position = 'MID' AND b.k = m JOIN pre c ON c.squad = g.squad AND c.position = 'FWD' AND c.k = f),
 best AS (SELECT squad, arg_max((d, m, f), (v, -o)) AS x FROM val GROUP BY squad),
-xi AS (SELECT pre.*, (k <= CASE position WHEN 'GK' THEN 1 WHEN 'DEF' THEN x[1] WHEN 'MID' THEN x[2] ELSE x[3] END)::INT AS xi_ FROM pre LEFT JOIN best USING (squad))"""
+xi AS (SELECT pre.*, coalesce((k <= CASE position WHEN 'GK' THEN 1 WHEN 'DEF' THEN x[1] WHEN 'MID' THEN x[2] ELSE x[3] END)::INT, 0) AS xi_ FROM pre LEFT JOIN best USING (squad))"""
 
 
 def pools(spark, sf):
@@ -61,10 +61,14 @@ def best_xi(spark, sf):
 
 
 @query("J4", "squad:int rule found:num", _XI + """, a AS (SELECT squad, count(*) AS size, sum(xi_) AS xi_size, round(sum(price), 6) AS budget,
-  count(*) FILTER (position = 'GK') AS q1, count(*) FILTER (position = 'DEF') AS q2, count(*) FILTER (position = 'MID') AS q3, count(*) FILTER (position = 'FWD') AS q4 FROM xi GROUP BY squad),
+  count(*) FILTER (position = 'GK') AS q1, count(*) FILTER (position = 'DEF') AS q2, count(*) FILTER (position = 'MID') AS q3, count(*) FILTER (position = 'FWD') AS q4,
+  count(*) FILTER (position = 'GK' AND xi_ = 1) AS x1, count(*) FILTER (position = 'DEF' AND xi_ = 1) AS x2, count(*) FILTER (position = 'MID' AND xi_ = 1) AS x3,
+  count(*) FILTER (position = 'FWD' AND xi_ = 1) AS x4 FROM xi GROUP BY squad),
 r AS (SELECT squad, 'size' AS rule, size AS found FROM a WHERE size <> 15 UNION ALL SELECT squad, 'xi_size', xi_size FROM a WHERE xi_size <> 11
   UNION ALL SELECT squad, 'budget', budget FROM a WHERE budget > 80 UNION ALL SELECT squad, 'quota_GK', q1 FROM a WHERE q1 <> 2
   UNION ALL SELECT squad, 'quota_DEF', q2 FROM a WHERE q2 <> 4 UNION ALL SELECT squad, 'quota_MID', q3 FROM a WHERE q3 <> 5 UNION ALL SELECT squad, 'quota_FWD', q4 FROM a WHERE q4 <> 3
+  UNION ALL SELECT squad, 'xi_GK', x1 FROM a WHERE x1 <> 1 UNION ALL SELECT squad, 'xi_DEF', x2 FROM a WHERE x2 < 3
+  UNION ALL SELECT squad, 'xi_MID', x3 FROM a WHERE x3 < 2 UNION ALL SELECT squad, 'xi_FWD', x4 FROM a WHERE x4 < 1
   UNION ALL SELECT squad, 'club_cap', n FROM (SELECT squad, max(n) AS n FROM (SELECT squad, team, count(*) AS n FROM xi GROUP BY ALL) GROUP BY squad) WHERE n > 1)""")
 def squad_audit(spark, sf):
     # stricter rules than the game's, so that some break
