@@ -124,7 +124,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that a rule rejects go."""
-    return quality_rules(docs).where("kept").select("row.*")
+    # kept rows through a generator: a filter on ``kept`` would be pushed below the measures and written out in full
+    # at every level of them, which the optimizer does not finish
+    judged = quality_rules(docs).select(F.explode_outer(F.when(F.col("kept"), F.array("row"))).alias("row"))
+    return judged.where(F.col("row").isNotNull()).select("row.*")
 
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
