@@ -56,11 +56,17 @@ def segments(symbols: np.ndarray, window: int, gram: int):
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id (bigint), key (hash of the text) and the text as bytes; a null text as an empty one."""
-    text = F.coalesce("text", F.lit(""))
+    """doc_id (bigint), key and the text as bytes; a null text as an empty one.
+
+    A row is told by doc_id and key; key is 0 where a doc_id comes once, else the hash of the row's text.
+    """
     # texts travel to Python in batches of this many rows, several of which are held at a time
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # stored, so that its size is known when the joins with it are planned
+    many = saved(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("m_id"), F.lit(True).alias("many")), "repeated-ids")
+    return docs.join(many, same("doc_id", "m_id"), "left").select(
+        "doc_id", F.when(F.col("many"), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint")).alias("key"), F.col("text").cast("binary").alias("text"))
 
 
 def texts_of(column) -> list[memoryview]:
@@ -122,8 +128,10 @@ def repeated_segments(docs: DataFrame, read, slices, window: int, gram: int) ->
     anchors = saved(docs.mapInArrow(cut, "doc_id bigint, key bigint, at bigint, gram bigint"), "anchors")
     # stored, so that the join below sees two plain tables and can split a gram that very many segments have
     again = saved(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-    wanted = anchors.join(again, "gram").groupBy("doc_id", "key").agg(
-        F.collect_set(F.struct("at", "gram")).alias("want")).toDF("w_id", "w_key", "want")
+    wanted = saved(anchors.join(again, "gram").groupBy("doc_id", "key").agg(
+        F.collect_set(F.struct("at", "gram")).alias("want")).toDF("w_id", "w_key", "want"), "wanted")
+    discard(anchors)
+    discard(again)
 
     def fetch(batches):
         import xxhash
@@ -151,8 +159,7 @@ def repeated_segments(docs: DataFrame, read, slices, window: int, gram: int) ->
 
     found = docs.join(wanted, same("doc_id", "w_id") & (F.col("key") == F.col("w_key"))).select("doc_id", "key", "text", "want")
     out = saved(found.mapInArrow(fetch, "doc_id bigint, key bigint, at bigint, gram bigint, digest bigint, seg binary"), "segments", "zstd")
-    discard(anchors)
-    discard(again)
+    discard(wanted)
     return out
 
 
@@ -164,10 +171,9 @@ def distinct_segments(found: DataFrame, with_first: bool) -> DataFrame:
 
 
 def crowds(distinct: DataFrame, crowded: int) -> tuple[DataFrame, DataFrame]:
-    """The distinct segments of anchors with 2 to ``crowded`` of them, and of anchors with more; a lone one differs from nothing."""
-    per = distinct.groupBy("gram").agg(F.count("*").alias("d")).where("d > 1")
-    rows = distinct.join(per, "gram")
-    return rows.where(F.col("d") <= crowded).drop("d"), rows.where(F.col("d") > crowded).drop("d")
+    """The distinct segments of anchors with up to ``crowded`` of them, and of anchors with more."""
+    hot = saved(distinct.groupBy("gram").agg(F.count("*").alias("d")).where(F.col("d") > crowded).select("gram"), "crowded")
+    return distinct.join(hot, "gram", "left_anti"), distinct.join(hot, "gram", "left_semi")
 
 
 def by_shard(rows: DataFrame, work, shard: int) -> DataFrame:
@@ -189,7 +195,11 @@ def by_shard(rows: DataFrame, work, shard: int) -> DataFrame:
             yield from marked(pa.Table.from_batches(held).combine_chunks())
 
     def marked(table):
-        segment, window = work(table)
+        _, group, size = np.unique(table.column("gram").to_numpy(), return_inverse=True, return_counts=True)
+        table = table.take(pa.array(np.flatnonzero(size[group] > 1)))  # a lone segment differs from nothing
+        if not table.num_rows:
+            return
+        segment, window = work(table.combine_chunks())
         order = np.lexsort((window, segment))
         segment, window = segment[order], window[order]
         at, first = np.unique(segment, return_index=True)
