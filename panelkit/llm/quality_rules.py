@@ -78,14 +78,17 @@ def measure(docs: DataFrame) -> DataFrame:
     ))
     b = F.col("_b")
     ratio = lambda a, c: F.try_divide(b[a].cast("double"), b[c].cast("double"))
-    return out.withColumn("_q", F.struct(
+    q = F.struct(
         *[b[c].alias(c) for c in (*_BASE, "n_exclamations", "n_stop_words", "n_lines")],
         ratio("word_chars", "n_words").alias("mean_word_chars"),
         ratio("n_symbols", "n_words").alias("symbols_per_word"),
         ratio("n_exclamations", "n_words").alias("exclamations_per_word"),
         ratio("n_stop_words", "n_words").alias("stop_word_share"),
         ratio("n_dup_lines", "n_lines").alias("dup_line_share"),
-    )).select("row", "_q")
+    )
+    # a generator ends the projection: a filter on a measure would otherwise be pushed below it and written out in
+    # full at every level, which the optimizer does not finish
+    return out.select(F.inline_outer(F.array(F.struct("row", q.alias("_q")))))
 
 
 def failed_rules(q: Column, rules=RULES) -> Column:
@@ -124,10 +127,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that a rule rejects go."""
-    # kept rows through a generator: a filter on ``kept`` would be pushed below the measures and written out in full
-    # at every level of them, which the optimizer does not finish
-    judged = quality_rules(docs).select(F.explode_outer(F.when(F.col("kept"), F.array("row"))).alias("row"))
-    return judged.where(F.col("row").isNotNull()).select("row.*")
+    return quality_rules(docs).where("kept").select("row.*")
 
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
