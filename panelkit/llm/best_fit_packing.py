@@ -23,6 +23,7 @@ from panelkit.shared import saved
 CAPACITY, END_ID = 2048, 0
 GROUPS = 64             # sizes that large lengths are rounded to, at most
 TOLERANCE = 1e-3        # of the linear program
+OPEN_PLACES = (2, 1, 0)  # numbers of open places that are tried for each configuration
 SMALL = 8               # lengths up to capacity / SMALL are small
 RANKED = 50_000         # rows of one length that one task ranks, on average
 
@@ -91,6 +92,27 @@ def plan(counts: dict[int, int], capacity: int, groups: int = GROUPS, small: int
     An interval (length, rank, n, sequence, per, offset) says: the n documents of the length from that rank on go to
     consecutive sequences from ``sequence`` on, ``per`` of them to each, from ``offset`` on.
     """
+    queues: dict[int, list[list[int]]] = {}  # rounded size -> [length, documents], longest first
+    large = [(s, counts[s]) for s in sorted(counts, reverse=True) if counts[s] and capacity > s and s * small > capacity]
+    each, size, room = -(-sum(c for _, c in large) // groups), 0, 0
+    for s, c in large:
+        while c:
+            if not room:
+                size, room = s, each
+                queues.setdefault(size, [])
+            n = min(c, room)
+            queues[size].append([s, n])
+            c, room = c - n, room - n
+    sizes = list(queues)
+    chosen = configurations(sizes, [sum(n for _, n in queues[s]) for s in sizes], capacity) if sizes else []
+    # with the smallest places of each configuration open, best fit finds longer documents for the room that rounding
+    # has left over; where little is rounded the whole configuration is better
+    tried = (_laid_out(counts, capacity, {s: [list(q) for q in queues[s]] for s in sizes}, chosen, n) for n in OPEN_PLACES)
+    return min(tried, key=lambda x: x[1])
+
+
+def _laid_out(counts, capacity, queues, chosen, open_places):
+    """The plan that keeps so many of the smallest places of each chosen configuration open for best fit."""
     used: dict[int, int] = defaultdict(int)
     intervals: list[tuple[int, int, int, int, int, int]] = []
     gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # free tokens -> runs (first sequence, how many)
@@ -105,56 +127,41 @@ def plan(counts: dict[int, int], capacity: int, groups: int = GROUPS, small: int
         put(capacity, counts[capacity], 0, 1, 0)
         opened = counts[capacity]
 
-    large = [(s, left[s]) for s in sorted(left, reverse=True) if s * small > capacity]
-    total = sum(c for _, c in large)
-    if total:
-        each = -(-total // groups)
-        queues: dict[int, list[list[int]]] = {}  # rounded size -> [length, documents], longest first
-        size, room = 0, 0
-        for s, c in large:
-            while c:
-                if not room:
-                    size, room = s, each
-                    queues.setdefault(size, [])
-                n = min(c, room)
-                queues[size].append([s, n])
-                c, room = c - n, room - n
-        sizes = list(queues)
-        for column, times in configurations(sizes, [sum(n for _, n in queues[s]) for s in sizes], capacity):
-            # the two smallest places of a configuration stay open: best fit finds longer documents for the room
-            # that rounding has left over
-            bins, slots = int(times + 1e-9), [s for s, a in zip(sizes, column) for _ in range(a)][:-2]
-            bins = bins if slots else 0
-            for s in set(slots):
-                bins = min(bins, sum(n for _, n in queues[s]) // slots.count(s))
-            while bins > 0:  # actual documents: runs of sequences with the same lengths
-                take: dict[int, int] = defaultdict(int)
-                lengths, run = [], bins
+    sizes = list(queues)
+    for column, times in chosen:
+        places = [s for s, a in zip(sizes, column) for _ in range(a)]
+        bins, slots = int(times + 1e-9), places[:max(0, len(places) - open_places)]
+        bins = bins if slots else 0
+        for s in set(slots):
+            bins = min(bins, sum(n for _, n in queues[s]) // slots.count(s))
+        while bins > 0:  # actual documents: runs of sequences with the same lengths
+            take: dict[int, int] = defaultdict(int)
+            lengths, run = [], bins
+            for s in slots:
+                skip = 0
+                while queues[s][skip][1] <= 0:
+                    skip += 1
+                lengths.append(queues[s][skip][0])
+                take[s, skip] += 1
+            run = min([bins] + [queues[s][i][1] // m for (s, i), m in take.items()])
+            if run == 0:  # a slot's run ends inside one sequence: fill it document by document
+                run, lengths = 1, []
                 for s in slots:
-                    skip = 0
-                    while queues[s][skip][1] <= 0:
-                        skip += 1
-                    lengths.append(queues[s][skip][0])
-                    take[s, skip] += 1
-                run = min([bins] + [queues[s][i][1] // m for (s, i), m in take.items()])
-                if run == 0:  # a slot's run ends inside one sequence: fill it document by document
-                    run, lengths = 1, []
-                    for s in slots:
-                        q = next(q for q in queues[s] if q[1] > 0)
-                        q[1] -= 1
-                        lengths.append(q[0])
-                else:
-                    for (s, i), m in take.items():
-                        queues[s][i][1] -= m * run
-                for s in set(slots):
-                    queues[s] = [q for q in queues[s] if q[1] > 0] or [[0, 0]]
-                offset = 0
-                for s in lengths:
-                    put(s, run, opened, 1, offset)
-                    left[s] -= run
-                    offset += s
-                gaps[capacity - offset].append((opened, run))
-                opened, bins = opened + run, bins - run
+                    q = next(q for q in queues[s] if q[1] > 0)
+                    q[1] -= 1
+                    lengths.append(q[0])
+            else:
+                for (s, i), m in take.items():
+                    queues[s][i][1] -= m * run
+            for s in set(slots):
+                queues[s] = [q for q in queues[s] if q[1] > 0] or [[0, 0]]
+            offset = 0
+            for s in lengths:
+                put(s, run, opened, 1, offset)
+                left[s] -= run
+                offset += s
+            gaps[capacity - offset].append((opened, run))
+            opened, bins = opened + run, bins - run
     free = sorted(g for g in gaps if g)
     for s in sorted(left, reverse=True):
         m = left[s]
