@@ -336,6 +336,16 @@ def test_plans_are_whole_and_tight(spark):
         best_fit_packing.pack(spark.createDataFrame([(101,)], "length int"), 100)
 
 
+def test_plan_reaches_the_optimum_of_few_sizes():
+    # three pieces fit only if two are 33s: at most 14 sequences hold three, the other 18 pieces go in pairs
+    assert best_fit_packing.plan({34: 31, 33: 29}, 100, 16)[1] == 14 + 9
+
+
+def test_filters_on_judged_rows_are_planned(spark, corpus):
+    judged = quality_rules.quality_rules(spark.read.parquet(f"{corpus[0]}/documents.parquet"))
+    assert judged.where("kept AND measures.n_words >= 50").count() == judged.where("kept").count() > 0
+
+
 def test_ranks_are_salted(spark, monkeypatch):
     monkeypatch.setattr(best_fit_packing, "RANKED", 10)
     got = best_fit_packing.pack(spark.range(500).select((F.col("id") % 2 + 30).alias("length"), "id"), 100).collect()
