@@ -376,6 +376,19 @@ def test_copies_keep_their_lines(spark):
     assert out.agg(F.sum("n_dropped")).first()[0] == 0
 
 
+def prose_line(r, n=9):
+    return " ".join("".join(r.choice("abcdefghijkl") for _ in range(6)) for _ in range(n))
+
+
+@pytest.mark.parametrize("n", [300, 20_000])
+def test_fields_stay_fields_at_any_size(spark, n):
+    r = random.Random(13)
+    value = ["".join(r.choice("mnopqrst") for _ in range(8)) for _ in range(200)]
+    rows = [(i, f"{prose_line(r, 40)}\nShared by user {r.choice(value[:100])} {r.choice(value[100:])} from here\n{prose_line(r, 40)}") for i in range(n)]
+    out = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert out.where("n_dropped = 1 AND NOT contains(text, 'Shared by')").count() == n
+
+
 # --- 9
 def test_urls(spark):
     cases = {
