@@ -389,6 +389,17 @@ def test_fields_stay_fields_at_any_size(spark, n):
     assert out.where("n_dropped = 1 AND NOT contains(text, 'Shared by')").count() == n
 
 
+def test_short_texts_lose_their_licence_line(spark):
+    r = random.Random(14)
+    licence, body = "Released under the terms of the MIT License.", [prose_line(r) for _ in range(10)]
+    rows = [(i, f"{prose_line(r, 4)}\n{licence}\n{prose_line(r, 4)}") for i in range(20)]
+    rows += [(100 + i, "\n".join(b if j != i % 10 else prose_line(r) for j, b in enumerate(body)) + "\n" + licence) for i in range(200)]
+    got = {x["doc_id"]: x for x in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(len(licence) > 0.3 * len(t) for i, t in rows if i < 100)
+    # near copies lose the line that other texts carry too, and keep their own
+    assert all(got[i]["text"] == "\n".join(x for x in t.split("\n") if x != licence) and got[i]["n_dropped"] == 1 for i, t in rows)
+
+
 # --- 9
 def test_urls(spark):
     cases = {
