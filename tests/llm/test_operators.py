@@ -400,6 +400,15 @@ def test_short_texts_lose_their_licence_line(spark):
     assert all(got[i]["text"] == "\n".join(x for x in t.split("\n") if x != licence) and got[i]["n_dropped"] == 1 for i, t in rows)
 
 
+def test_short_lines_recur(spark):
+    r = random.Random(15)
+    rows = [(i, f"Menu\n{prose_line(r, 30)}\n\n  Read   more\n{i}\nPage {i}\n{prose_line(r, 30)}\nonce{chr(97 + i)}\n") for i in range(20)]
+    got = {x["doc_id"]: x for x in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, t in rows:
+        a = t.split("\n")
+        assert got[i]["n_dropped"] == 3 and got[i]["text"].split("\n") == [a[1], "", str(i), *a[6:]]
+
+
 # --- 9
 def test_urls(spark):
     cases = {
