@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -511,6 +512,51 @@ def test_decontamination(spark, corpus):
         assert {(5000 + i, i) for i, t in items[:20] if len(t.split()) >= 13} <= got and (6000, items[0][0]) in got
 
 
+@pytest.mark.parametrize("need", range(1, 14))
+def test_masks_meet_every_pattern(need):
+    masks = decontamination.masks_for(need)
+    unequal = need - math.ceil(0.8 * need - 1e-9)
+    for gone in itertools.combinations(range(need), unequal):
+        equal = ["0" if p in gone else "1" for p in range(need)]
+        assert any(all(e == "1" for e, c in zip(equal[o:], m) if c == "1") for m in masks for o in range(need - len(m) + 1)), (need, gone)
+
+
+def test_long_passages_have_a_run():
+    assert decontamination.masks_for(50)[-1] == "1" * 4 and math.comb(50, 10) > decontamination.MAX_PATTERNS
+
+
+def test_short_items_and_every_pair(spark):
+    r = random.Random(16)
+    vocab = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(400)]
+    items = [(n, [r.choice(vocab) for _ in range(n)]) for n in (*range(1, 14), 20, 5003, 5010)]
+    docs = []
+    for n, w in items:
+        need = min(13, n)
+        for unequal in range(need - math.ceil(0.8 * need - 1e-9) + 2):
+            for gone in itertools.combinations(range(need), unequal):
+                if len(docs) % 3 == 0 or n < 13:
+                    x = list(w[-need:])
+                    for p in gone:
+                        x[p] = "changed"
+                    docs.append((len(docs), " ".join(["before", "it", *x, "and", "after"])))
+    docs.append((len(docs), " ".join(items[-2][1][-3:])))
+    texts = [(n, " -- ".join(w)) for n, w in items]
+
+    def same(w, v):  # as the docstring of benchmark_overlaps says it
+        need = min(13, len(v))
+        for lane in {p - q for q, x in enumerate(v) for p, y in enumerate(w) if x == y}:
+            a, b = max(0, lane), min(len(w), lane + len(v))
+            eq = [w[p] == v[p - lane] for p in range(a, b)]
+            if any(sum(eq[p:p + need]) >= 0.8 * need - 1e-9 for p in range(len(eq) - need + 1)):
+                return True
+        return False
+
+    want = {(d, n) for d, t in docs for n, v in items if same(t.split(), v)}
+    df, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(texts, "item_id bigint, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontamination.benchmark_overlaps(df, bench).collect()}
+    assert got == want
+
+
 # --- pipeline
 def test_pipeline(spark, corpus):
     import corpus_pipeline
