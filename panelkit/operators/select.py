@@ -115,27 +115,129 @@ def useful_candidates(df: DataFrame, keys: tuple, quota: dict = SQUAD_QUOTA, clu
     return df.withColumn("_r", r).where(F.col("_r") <= top).where(F.col("_r") <= need).drop("_r")
 
 
+def _cheapest_flow(slots: list[tuple], players: list[tuple], club_cap: int) -> dict | None:
+    """slot -> players that fill all slots at the least total cost with at most ``club_cap`` of a team, or None if none do.
+
+    ``slots`` are (role, whether starters, number); ``players`` (role, team, cost as a starter, cost on the bench), whole
+    numbers. Each step adds one pick along the cheapest path, which swaps earlier picks where a club is full.
+    """
+    teams = {t: i for i, t in enumerate(dict.fromkeys(p[1] for p in players))}
+    n_s, n_p = len(slots), len(players)
+    source, sink = 0, 1 + n_s + n_p + len(teams)
+    head, room, cost, out = [], [], [], [[] for _ in range(sink + 1)]
+
+    def edge(a, b, r, c):
+        for x, y, q, z in ((a, b, r, c), (b, a, 0, -c)):
+            out[x].append(len(head))
+            head.append(y)
+            room.append(q)
+            cost.append(z)
+
+    for i, (role, first, n) in enumerate(slots):
+        edge(source, 1 + i, n, 0)
+        for j, p in enumerate(players):
+            if p[0] == role:
+                edge(1 + i, 1 + n_s + j, 1, p[2] if first else p[3])
+    for j, p in enumerate(players):
+        edge(1 + n_s + j, 1 + n_s + n_p + teams[p[1]], 1, 0)
+    for i in teams.values():
+        edge(1 + n_s + n_p + i, sink, club_cap, 0)
+    for _ in range(sum(n for _, _, n in slots)):
+        dist, by, queue = {source: 0}, {}, [source]
+        while queue:  # Bellman-Ford over the nodes whose distance fell
+            fell = []
+            for x in queue:
+                for e in out[x]:
+                    if room[e] and dist[x] + cost[e] < dist.get(head[e], float("inf")):
+                        dist[head[e]] = dist[x] + cost[e]
+                        by[head[e]] = e
+                        fell.append(head[e])
+            queue = list(dict.fromkeys(fell))
+        if sink not in dist:
+            return None
+        x = sink
+        while x != source:
+            room[by[x]] -= 1
+            room[by[x] ^ 1] += 1
+            x = head[by[x] ^ 1]
+    return {i: [head[e] - 1 - n_s for e in out[1 + i] if e % 2 == 0 and not room[e]] for i in range(n_s)}
+
+
+def priced_squads(df: DataFrame, keys: tuple, multipliers: tuple, quota: dict = SQUAD_QUOTA, club_cap: int = CLUB_CAP,
+                  points: str = "ExpPts") -> DataFrame:
+    """For each scenario, price multiplier and formation the squad with the best starters by points less price times
+    multiplier and the cheapest bench, under quotas and club cap; multiplier infinity is the cheapest squad of all."""
+    inf = float("inf")
+    rows = df.select(*keys, "name", "team", "position", "price", points).dropna(subset=["price", points])
+    rows = rows.withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in multipliers])))
+    rows = rows.withColumn("score", F.when(F.col("lam") == inf, -F.col("price")).otherwise(F.col(points) - F.col("lam") * F.col("price")))
+    # of a team and role no squad needs more than the cap's best of either kind; of a role, at most the squad's size may
+    # be picked already and as many be of full clubs
+    total, names = sum(quota.values()), [c for c in rows.columns if c != "score"]
+    by = {"_a": [F.col("score").desc(), "price", "name"], "_b": ["price", F.col(points).desc(), "name"]}
+    for part, most in (("team", club_cap), (None, 2 * total)):
+        cell = [*keys, "lam", "position", *([part] if part else [])]
+        for c, order in by.items():
+            # the second rank counts only rows that the first kept for the same order
+            w = Window.partitionBy(*cell, *([] if part else [F.col(f"{c}_in")])).orderBy(*order, "team")
+            rows = rows.withColumn(c, F.row_number().over(w) <= most)
+            if not part:
+                rows = rows.withColumn(c, F.col(c) & F.col(f"{c}_in"))
+        rows = rows.where("_a OR _b").withColumnsRenamed({"_a": "_a_in", "_b": "_b_in"})
+    rows = rows.select(*names, "score")
+
+    def solve(table):
+        import pyarrow as pa
+
+        col = {c: table.column(c).to_pylist() for c in ("position", "team", "price", "score")}
+        lam = table.column("lam")[0].as_py()
+        whole = lambda x: round(float(x) * 1e6)
+        # on the bench a player costs the price at the multiplier; without one, the cheapest still go first
+        players = [(r, t, -whole(v), whole(p) if lam == inf else whole(lam * float(p)) or round(float(p) * 10))
+                   for r, t, p, v in zip(col["position"], col["team"], col["price"], col["score"])]
+        at, formation = [], []
+        for i, f in enumerate(FORMATIONS):
+            first = dict(zip(("GK", "DEF", "MID", "FWD"), (1, *f)))
+            if any(quota.get(r, 0) < n for r, n in first.items()):
+                continue
+            slots = [(r, s, n) for r, q in quota.items() for s, n in ((True, first.get(r, 0)), (False, q - first.get(r, 0))) if n]
+            found = _cheapest_flow(slots, players, club_cap)
+            for picks in (found or {}).values():
+                at += picks
+                formation += [i] * len(picks)
+            if lam == inf:  # the same squad for every formation
+                break
+        return table.select(names).take(pa.array(at, pa.int64())).append_column("formation", pa.array(formation, pa.int32()))
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema]
+    return rows.groupBy(*keys, "lam").applyInArrow(solve, ", ".join([*kinds, "formation int"]))
+
+
 def squad_search(df: DataFrame, keys: tuple, multipliers=(0.0, 0.1, 0.2, 0.4, 0.8), budget: float = BUDGET, quota: dict = SQUAD_QUOTA,
                  club_cap: int = CLUB_CAP, points: str = "ExpPts") -> DataFrame:
     """One row for each scenario (``keys``): status, value and bound of the eleven's points, gap, and the chosen squad.
 
-    A heuristic: for each price multiplier the candidates are ranked by points less price times multiplier, capped by
-    club, the quota filled in rank order, the eleven chosen exactly, and the best squad within the budget kept. The
+    A heuristic: for each price multiplier and legal formation the squad with the best starters by points less price
+    times multiplier and the cheapest bench, under quotas and club cap (``priced_squads``); its eleven is then chosen
+    exactly, and the best squad within the budget kept. The quotas filled by priced points from each club's best, and
+    the cheapest squad of all, are tried too, so a scenario has a squad if any is legal: status "none", with null value, says that there is none. The
     bound drops the club cap and lets the bench be chosen apart: for each multiplier the best starters' points less
     their priced cost, less the priced cost of the cheapest bench, plus the priced budget; the least over the
-    multipliers. A scenario without a squad has status "none" and null value.
+    multipliers.
     """
     pool = useful_candidates(df, keys, quota, club_cap, points)
     lam = F.explode(F.array(*[F.lit(float(x)) for x in multipliers]))
-    rows = pool.withColumn("lam", lam).withColumn("score", F.col(points) - F.col("lam") * F.col("price"))
-    picked = quota_top_k(rows, "score", quota, club_cap, (*keys, "lam"))
-    squads = best_xi(picked, points, (*keys, "lam"))
-    value = squads.groupBy(*keys, "lam").agg(
+    picked = priced_squads(pool, keys, (*multipliers, float("inf")), quota, club_cap, points)
+    # the fifteen best by priced points, which may leave a better eleven where the best starters are over the budget
+    best = pool.withColumn("lam", lam).withColumn("score", F.col(points) - F.col("lam") * F.col("price"))
+    best = quota_top_k(best, "score", quota, club_cap, (*keys, "lam")).withColumn("formation", F.lit(-1))
+    squads = best_xi(picked.unionByName(best.select(*picked.columns)), points, (*keys, "lam", "formation"))
+    value = squads.groupBy(*keys, "lam", "formation").agg(
         F.round(F.sum(F.when(F.col("XI") == 1, F.col(points))), 6).alias("value"), F.round(F.sum("price"), 6).alias("cost"), F.count("*").alias("n"),
         F.count_if(F.col("XI") == 1).alias("xi"),
         F.array_sort(F.collect_list(F.struct("position", "name", "team", "XI"))).alias("squad"))
     good = value.where((F.col("cost") <= budget) & (F.col("n") == sum(quota.values())) & (F.col("xi") == 11))
-    best = good.groupBy(*keys).agg(F.max_by(F.struct("value", "cost", "lam", "squad"), F.struct("value", -F.col("lam"))).alias("b"))
+    best = good.groupBy(*keys).agg(F.max_by(F.struct("value", "cost", "lam", "squad"), F.struct("value", -F.col("cost"), -F.col("lam"), -F.col("formation"))).alias("b"))
     # bound, from all candidates: prefix sums of priced points and of the cheapest prices by role
     full = df.withColumn("lam", lam).withColumn("gain", F.col(points) - F.col("lam") * F.col("price"))
     w = lambda *o: Window.partitionBy(*keys, "lam", "position").orderBy(*o)

@@ -156,6 +156,33 @@ def test_search_gives_a_row_for_every_scenario_and_stays_below_the_bound(spark):
     assert len(rows) == 15 and sum(r["XI"] for r in rows) == 11
 
 
+def test_search_finds_a_squad_where_one_is_legal(spark):
+    # each club's best three are forwards; goalkeepers of one club only beside two clubs with every role
+    def club(t, price):
+        return [(t, "FWD", price, 9), (t, "FWD", price, 9), (t, "FWD", price, 9), (t, "GK", price, 1), *[(t, "DEF", price, 2)] * 3, *[(t, "MID", price, 3)] * 3]
+
+    def scenario(s, price, clubs):
+        return _squad(spark, [x for t in clubs for x in club(t, price)]).drop("s").withColumn("s", F.lit(s))
+
+    pool = scenario(1, 4.0, "ABCDEF").union(scenario(2, 7.0, "ABCDEF")).union(scenario(3, 4.0, "ABCD"))
+    # cheap players without points, which no multiplier up to 0.8 asks for
+    dear = [(t, r, 9.0, 90) for t in "ABCDEF" for r in ("GK", "DEF", "DEF", "MID", "MID", "FWD")]
+    cheap = [(t, r, 6.0, 0) for t in "ABCDEF" for r in ("GK", "DEF", "DEF", "MID", "MID", "FWD")]
+    pool = pool.union(_squad(spark, dear + cheap).drop("s").withColumn("s", F.lit(4)))
+    got = {r["s"]: r for r in select.squad_search(pool, ("s",)).collect()}
+    assert {s: r["status"] for s, r in got.items()} == {1: "feasible", 2: "none", 3: "none", 4: "feasible"}
+    assert got[1]["cost"] == 60 and got[4]["cost"] <= 100
+    for s in (1, 4):
+        teams = [x["team"] for x in got[s]["squad"]]
+        assert len(teams) == 15 and max(map(teams.count, teams)) <= 3 and got[s]["value"] <= got[s]["bound"] + 1e-6
+
+
+def test_flow_swaps_earlier_picks():
+    players = [("GK", "A", 5, 5), ("DEF", "A", 1, 1), ("DEF", "B", 3, 3)]
+    got = select._cheapest_flow([("DEF", True, 1), ("GK", True, 1)], players, 1)
+    assert got == {0: [2], 1: [0]} and select._cheapest_flow([("GK", True, 2)], players, 1) is None
+
+
 def test_ragged_lines(spark):
     lines = spark.createDataFrame([("a,1",), ('"b,c",2',), ("d,x,3",), ("only",), ("1,2,3,4",)], "v string")
     got = {tuple(r) for r in ingest.parse_lines(lines, "v", {2: ["n", "k"], 3: ["n", "e", "k"]}).collect()}
