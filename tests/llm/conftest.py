@@ -37,7 +37,7 @@ def corpus(tmp_path_factory):
     extra = {c: list(range(len(rows))) for c in ("row", "_key", "key", "at", "start", "length", "piece", "spans", "n_lines", "kept", "fp", "_rank", "measures")}
     t = pa.table({"doc_id": pa.array([x[0] for x in rows], pa.int64()), "text": [x[1] for x in rows], "n_chars": pa.array([len(x[1] or "") for x in rows], pa.int64()), **extra})
     pq.write_table(t, f"{d}/documents.parquet")
-    for name in ("benchmark", "pages"):
+    for name in ("benchmark", "pages", "embeddings", "labels"):
         pq.write_table(pq.read_table(f"{SF}/{name}.parquet"), f"{d}/{name}.parquet")
     return str(d), rows
 
@@ -45,6 +45,6 @@ def corpus(tmp_path_factory):
 @pytest.fixture(scope="session")
 def empty(tmp_path_factory, corpus):
     d = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "benchmark", "pages"):
+    for name in ("documents", "benchmark", "pages", "embeddings", "labels"):
         pq.write_table(pq.read_table(f"{corpus[0]}/{name}.parquet").slice(0, 0), f"{d}/{name}.parquet")
     return str(d)
