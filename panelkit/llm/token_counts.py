@@ -17,6 +17,8 @@ from panelkit.llm import tokens
 from panelkit.shared import saved
 
 BLOCK_BYTES = 1 << 20
+#: Blocks of a file that one task scans; groups are then scanned by their sums.
+GROUP = 4096
 END_ID = 50256
 
 
@@ -24,7 +26,8 @@ def token_files(docs: DataFrame, path: str, end_id: int = END_ID, dtype: str = "
     """Flat token files of ``docs``, one for each input partition, as a stored table of blocks.
 
     Rows with ``content`` are blocks (file, block); rows with ``ordinal`` are the manifest (file, ordinal, doc_id):
-    which document is the file's n-th. Blocks end where they are full, inside a document as well as between two.
+    which document is the file's n-th. Blocks end where they are full, inside a document as well as between two. The
+    end id's string in a text is encoded as text, so the id only ends documents. An id that ``dtype`` cannot hold raises an error.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["file", "block", "content", "ordinal", "doc_id"]
@@ -43,7 +46,10 @@ def token_files(docs: DataFrame, path: str, end_id: int = END_ID, dtype: str = "
         for b in batches:
             id_type = b.column("doc_id").type
             for text in b.column("text"):
-                buffer += tokens.ids_of(path, text.as_py(), end_id).astype(dtype).tobytes()
+                ids = tokens.ids_of(path, text.as_py(), end_id, special=False)
+                if ids.max() > np.iinfo(dtype).max:
+                    raise ValueError(f"id {ids.max()} does not fit into {dtype}")
+                buffer += ids.astype(dtype).tobytes()
                 while len(buffer) >= block_bytes:
                     yield blocks([bytes(buffer[:block_bytes])])
                     del buffer[:block_bytes]
@@ -83,19 +89,30 @@ def token_counts(blocks: DataFrame, end_id: int = END_ID, dtype: str = "<u2") ->
                 ends.append(np.flatnonzero(ids == end_id))
             yield pa.RecordBatch.from_arrays([b.column("file"), b.column("block"), pa.array(size, pa.int64()), pa.array(ends, pa.list_(pa.int64()))], names=["file", "block", "size", "ends"])
 
-    scanned = blocks.select("file", F.col("block").cast("bigint").alias("block"), "content").mapInArrow(
-        scan, f"file {kind}, block bigint, size bigint, ends array<bigint>")
-    w = Window.partitionBy("file").orderBy("block")
+    scanned = saved(blocks.select("file", F.col("block").cast("bigint").alias("block"), "content").mapInArrow(
+        scan, f"file {kind}, block bigint, size bigint, ends array<bigint>"), "block-ends")
+    # the scan sees three numbers of each block, first within groups of blocks, then over the groups' sums
+    sums = scanned.select("file", "block", "size", F.size("ends").alias("n"), F.get("ends", F.size("ends") - 1).alias("end"), F.floor(F.col("block") / GROUP).alias("group"))
+    w = Window.partitionBy("file", "group").orderBy("block")
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
-    stitched = scanned.withColumn("base", F.coalesce(F.sum("size").over(prior), F.lit(0))) \
-        .withColumn("done", F.coalesce(F.sum(F.size("ends")).over(prior), F.lit(0))) \
-        .withColumn("open", F.coalesce(F.max(F.col("base") + F.element_at("ends", -1) + 1).over(prior), F.lit(0))) \
-        .withColumn("last", F.lead("block").over(w).isNull())
+    inner = sums.withColumn("base", F.coalesce(F.sum("size").over(prior), F.lit(0))).withColumn("done", F.coalesce(F.sum("n").over(prior), F.lit(0)))
+    inner = inner.withColumn("after", F.col("base") + F.col("end") + 1).withColumn("open", F.max("after").over(prior))
+    per_group = inner.groupBy("file", "group").agg(F.sum("size").alias("g_size"), F.sum("n").alias("g_n"), F.max("after").alias("g_after"), F.max("block").alias("g_last"))
+    g = Window.partitionBy("file").orderBy("group")
+    before = g.rowsBetween(Window.unboundedPreceding, -1)
+    per_group = per_group.withColumn("g_base", F.coalesce(F.sum("g_size").over(before), F.lit(0))).withColumn("g_done", F.coalesce(F.sum("g_n").over(before), F.lit(0)))
+    per_group = per_group.withColumn("g_open", F.coalesce(F.max(F.col("g_base") + F.col("g_after")).over(before), F.lit(0))).withColumn(
+        "last", F.when(F.lead("group").over(g).isNull(), F.col("g_last"))).select(
+        F.col("file").alias("g_file"), F.col("group").alias("g_group"), "g_base", "g_done", "g_open", "last")
+    placed = inner.join(per_group, F.col("file").eqNullSafe(F.col("g_file")) & F.col("group").eqNullSafe(F.col("g_group"))).select(
+        F.col("file").alias("_file"), F.col("block").alias("_block"), (F.col("base") + F.col("g_base")).alias("base"), (F.col("done") + F.col("g_done")).alias("done"),
+        F.coalesce(F.col("open") + F.col("g_base"), F.col("g_open")).alias("open"), F.coalesce(F.col("block") == F.col("last"), F.lit(False)).alias("last"))
+    stitched = scanned.join(placed, F.col("file").eqNullSafe(F.col("_file")) & F.col("block").eqNullSafe(F.col("_block")))
     closed = F.transform("ends", lambda e, i: F.struct(
         (F.col("done") + i).alias("ordinal"),
         F.when(i == 0, F.col("open")).otherwise(F.col("base") + F.get("ends", i - 1) + 1).alias("start"),
         (F.col("base") + e).alias("stop"), F.lit(True).alias("closed")))
-    tail_start = F.when(F.size("ends") > 0, F.col("base") + F.element_at("ends", -1) + 1).otherwise(F.col("open"))
+    tail_start = F.when(F.size("ends") > 0, F.col("base") + F.get("ends", F.size("ends") - 1) + 1).otherwise(F.col("open"))
     tail = F.when(F.col("last") & (tail_start < F.col("base") + F.col("size")), F.array(F.struct(
         (F.col("done") + F.size("ends")).alias("ordinal"), tail_start.alias("start"),
         (F.col("base") + F.col("size")).alias("stop"), F.lit(False).alias("closed")))).otherwise(F.array())
