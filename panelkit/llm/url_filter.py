@@ -22,7 +22,7 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-MAX_WORD, MAX_LABEL = 20, 63  # letters of a word; longer labels are no host names and stay whole
+MAX_WORD = 20  # letters of a word
 SMOOTHING = 1.0
 
 
@@ -76,10 +76,9 @@ def _segment(label: str, known, total: int) -> list[str]:
 
 
 def segmented(labels: DataFrame, words: DataFrame) -> DataFrame:
-    """label, parts: each different label with the words that it splits into."""
+    """label, parts: each different label, of any length, with the words that it splits into; empty ones are left out."""
     total = max(words.agg(F.sum("n")).first()[0] or 1, 1)
-    short = labels.where(F.length("label").between(1, MAX_LABEL))
-    pieces = short.select("label", F.posexplode(F.sequence(F.lit(1), F.length("label"))).alias("_", "start")).select(
+    pieces = labels.where(F.length("label") > 0).select("label", F.posexplode(F.sequence(F.lit(1), F.length("label"))).alias("_", "start")).select(
         "label", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("label") - F.col("start") + 1))).alias("size"))
     pieces = pieces.withColumn("word", F.expr("substring(label, start, size)"))
     known = pieces.join(words, "word").groupBy("label").agg(
@@ -89,8 +88,7 @@ def segmented(labels: DataFrame, words: DataFrame) -> DataFrame:
     def split(label: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([_segment(x, [] if k is None else list(k), total) for x, k in zip(label, found)])
 
-    split_labels = short.join(known, "label", "left").select("label", split("label", "known").alias("parts"))
-    return split_labels.union(labels.where(F.length("label") > MAX_LABEL).select("label", F.array("label")))
+    return labels.where(F.length("label") > 0).join(known, "label", "left").select("label", split("label", "known").alias("parts"))
 
 
 def _tokens(urls: DataFrame, words: DataFrame) -> DataFrame:
