@@ -174,13 +174,50 @@ def test_scan_stitches_blocks(spark, tmp_path):
 def test_ids_equal_the_tokenizers_library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokens.default_path())
-    t.encode_special_tokens = True
+    t, plain = Tokenizer.from_file(tokens.default_path()), Tokenizer.from_file(tokens.default_path())
+    plain.encode_special_tokens = True
+    end = "<|endoftext|>"
     r = random.Random(6)
     chars = "abc ABC  \n\t'sé漢字😀\u00a0\u2028\u200b\x1c0١²½<|endoftext|>!?\u0301"
-    for _ in range(300):
-        x = "".join(r.choice(chars) for _ in range(r.randint(0, 60)))
+    texts = ["".join(r.choice(chars) for _ in range(r.randint(0, 60))) for _ in range(300)]
+    texts += [x + end * r.randint(0, 2) + y + " " * r.randint(0, 2) + end[:r.randint(0, 13)] for x, y in zip(texts, texts[1:])]
+    texts += [end, end * 3, f"a {end} b", f"{end}a", f"a{end}", f" {end} \n{end}\n", "<|endoftext", "|endoftext|>"]
+    for x in texts:
         assert tokens.encoder(tokens.default_path())(x) == t.encode(x, add_special_tokens=False).ids
+        assert tokens.encoder(tokens.default_path(), False)(x) == plain.encode(x, add_special_tokens=False).ids
+    assert tokens.encoder(tokens.default_path())(f"a {end} b") == [64, 220, 50256, 275]
+
+
+def test_end_string_in_documents(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "x" + "<|endoftext|>" * 3000)], "doc_id bigint, text string")
+    got = {(r["doc_id"], r["piece"]): r["length"] for r in best_fit_packing.best_fit_packing(docs).collect()}
+    assert got == {(1, 0): 5, (2, 0): 2, (3, 0): 3002 - 2048, (3, 1): 2048}
+    blocks = token_counts.token_files(docs, tokens.default_path()).where("content IS NOT NULL")
+    assert token_counts.token_counts(blocks).count() == 3
+
+
+def test_ids_that_do_not_fit_raise(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    with pytest.raises(Exception, match="does not fit"):
+        token_counts.token_files(docs, tokens.default_path(), end_id=70_000).collect()
+
+
+def test_scan_in_groups_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "GROUP", 3)
+    r = random.Random(8)
+    rows, want = [], []
+    for name in ("a", "b", None):
+        ids = np.array([7 if r.random() < 0.03 else r.randint(8, 60000) for _ in range(r.randint(300, 900))], "<u2")
+        rows += [(name, k, bytearray(ids[p:p + 10].tobytes()), 5, 6) for k, p in enumerate(range(0, len(ids), 10))]
+        ends = np.flatnonzero(ids == 7).tolist()
+        starts = [0, *[e + 1 for e in ends]]
+        want += [(name, i, s, e - s, True) for i, (s, e) in enumerate(zip(starts, ends))]
+        if starts[-1] < len(ids):
+            want.append((name, len(ends), starts[-1], len(ids) - starts[-1], False))
+    rows += [("a", 1000, None, 5, 6), ("b", 1001, bytearray(), 5, 6)]
+    r.shuffle(rows)
+    got = token_counts.token_counts(spark.createDataFrame(rows, "file string, block int, content binary, size int, group int"), 7)
+    assert rows_of(got, "file", "ordinal", "start", "n_tokens", "closed") == sorted(want, key=str)
 
 
 # --- 4
@@ -301,7 +338,6 @@ def test_packing(spark, corpus):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.default_path())
-    t.encode_special_tokens = True
     want = []
     for i, x in rows:
         ids = np.array(t.encode(x or "", add_special_tokens=False).ids + [0], "<u4")
@@ -469,6 +505,14 @@ def test_viterbi_splits_names():
     assert url_filter._segment("", [], 10) == []
 
 
+def test_long_labels_are_split_too(spark):
+    words = spark.createDataFrame([("blue", 500), ("sky", 400), ("over", 300), ("b", 1)], "word string, n bigint")
+    label = "blueskyover" * 8
+    labels = spark.createDataFrame([(label,), ("",), ("sky",), ("x" * 500,)], "label string")
+    got = {r["label"]: r["parts"] for r in url_filter.segmented(labels, words).collect()}
+    assert got[label] == ["blue", "sky", "over"] * 8 and got["sky"] == ["sky"] and "".join(got["x" * 500]) == "x" * 500 and len(got) == 3
+
+
 # --- 10
 def brute_overlaps(docs, items):
     bad = bytes(b for b in range(33, 127) if not chr(b).isalnum())
