@@ -6,9 +6,7 @@ In each leaf a token is constant at its position if a share of the leaf's lines
 variable fields, and the line with its fields generalised is its template. A line has a template for each of a few
 shares, from all of the leaf's lines down to none (the line itself), as a leaf can hold several templates. Templates
 that enough documents carry recur; their lines are dropped. Near copies, texts that share most lines, count once.
-
-``line_dedup_by_count`` is the older rule, with a fixed number of lines in place of the shares, texts spared by
-their share of recurring lines and lines under ``MIN_TOKENS`` left: the query's SQL states it.
+A field without a digit among the leading tokens parts the tree: its lines recur only value by value.
 """
 
 from __future__ import annotations
@@ -21,9 +19,7 @@ from panelkit.shared import saved
 FIELD = "<*>"
 MIN_DOCS = 8          # documents that must carry a template before it recurs
 DEPTH = 3             # leading tokens on a path of the tree
-MIN_TOKENS = 3        # by count: shorter lines are kept
 MIN_CONSTANT = 0.5    # share of a template's tokens that must be constant
-MAX_SHARE = 0.3       # by count: a text with a larger share of recurring lines is a copy and stays whole
 COPY_SHARE = 0.5      # a text that shares more of its lines and of its characters with min_docs texts is a near copy
 MIN_SHARES = (1.0, 3 / 4, 1 / 2, 1 / 4, 1 / 8, 1 / 16, 1 / 32, 0.0)  # of a leaf's lines that carry a constant token
 
@@ -34,8 +30,8 @@ def _masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(flat, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)).otherwise(flat)
 
 
-def _lines(docs: DataFrame, min_tokens: int = 1) -> DataFrame:
-    """One row for each line with a token and ``min_tokens`` or more: hash of its text, position, hash of the masked line and of its leaf,
+def _lines(docs: DataFrame) -> DataFrame:
+    """One row for each line with a token: hash of its text, position, hash of the masked line and of its leaf,
     length; and the text's length and number of lines that are not empty."""
     texts = docs.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("_key"), F.length("text").alias("_chars"))
     split = F.split("text", "\n")
@@ -43,8 +39,7 @@ def _lines(docs: DataFrame, min_tokens: int = 1) -> DataFrame:
     texts = texts.withColumn("_rows", F.size(F.array_remove(split, "")))
     rows = texts.select("_key", "_chars", "_rows", F.posexplode(split).alias("_pos", "_raw")).select(
         "_key", "_chars", "_rows", "_pos", F.length("_raw").alias("_len"), F.explode(F.array(_masked(F.col("_raw")))).alias("_line"))
-    return rows.withColumn("_n", F.size(F.split("_line", " "))).where(
-        (F.col("_n") >= min_tokens) & (F.col("_line") != "")).select(
+    return rows.withColumn("_n", F.size(F.split("_line", " "))).where(F.col("_line") != "").select(
         "_key", "_chars", "_rows", "_pos", "_len", F.xxhash64("_line").alias("_h"),
         F.xxhash64("_n", F.substring_index("_line", " ", DEPTH)).alias("_leaf"))
 
@@ -67,28 +62,9 @@ def _line_tokens(docs: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
     return saved(rows.select("_leaf", "_h", "c", F.split(_masked(F.col("_raw")), " ").alias("_toks")), "line-tokens")
 
 
-def recurring_by_count(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT) -> DataFrame:
-    """Hashes ``_h`` of the masked lines whose template recurs, with ``template`` and ``n_docs``; ``lines`` is ``_lines(docs)``.
-
-    A token is constant if ``min_docs`` of its leaf's lines carry it, whatever the size of the leaf.
-    """
-    tokens = _line_tokens(docs, lines, min_docs).select("_leaf", "_h", "c", F.posexplode("_toks").alias("_pos", "_tok"))
-    common = tokens.where(F.col("_tok") != FIELD).groupBy("_leaf", "_pos", "_tok").agg(F.sum("c").alias("w")).where(
-        F.col("w") >= min_docs).select("_leaf", "_pos", "_tok", F.lit(True).alias("_const"))
-    marked = tokens.join(common, ["_leaf", "_pos", "_tok"], "left").select(
-        "_leaf", "_h", "c", "_pos", F.when(F.col("_const"), F.col("_tok")).otherwise(F.lit(FIELD)).alias("_tok"))
-    template = marked.groupBy("_leaf", "_h").agg(
-        F.max("c").alias("c"), F.array_sort(F.collect_list(F.struct("_pos", "_tok"))).alias("t")).select(
-        "_h", "c", F.concat_ws(" ", "t._tok").alias("template"), F.size("t").alias("_n"),
-        F.size(F.filter("t", lambda x: x["_tok"] != FIELD)).alias("n_const"))
-    template = saved(template.where(F.col("n_const") >= F.col("_n") * min_constant), "line-templates")
-    counts = template.groupBy("template").agg(F.sum("c").alias("n_docs")).where(F.col("n_docs") >= min_docs)
-    return template.join(counts, "template").select("_h", "template", "n_docs")
-
-
 def line_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT,
                    min_shares: tuple = MIN_SHARES) -> DataFrame:
-    """_h, c and hash ``_t`` of each template of the masked lines, for templates that ``min_docs`` texts may carry."""
+    """_h, c, order ``_o`` (of md5) and hash ``_t`` of each template of the masked lines, for templates that ``min_docs`` texts may carry."""
     rows = _line_tokens(docs, lines, min_docs)
     tokens = rows.select("_leaf", "_h", "c", F.posexplode("_toks").alias("_pos", "_tok"))
     leaf = rows.groupBy("_leaf").agg(F.sum("c").alias("leaf_c"))
@@ -101,19 +77,20 @@ def line_templates(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS,
         F.max("c").alias("c"), F.array_sort(F.collect_list(F.struct("_pos", "_tok", "_share"))).alias("t"))
     at = lambda least: F.transform("t", lambda x: F.when(x["_share"] >= least, x["_tok"]).otherwise(F.lit(FIELD)))
     whole = lambda t: F.size(F.filter(t, lambda x: x != FIELD)) >= F.size(t) * min_constant
-    template = marked.select("_h", "c", F.explode(F.array_distinct(F.transform(
+    order = F.substring(F.md5(F.array_join(F.transform("t", lambda x: x["_tok"]), " ")), 1, 16)
+    template = marked.select("_h", "c", order.alias("_o"), F.explode(F.array_distinct(F.transform(
         F.filter(F.array(*[at(x) for x in min_shares]), whole), lambda t: F.xxhash64(F.array_join(t, " "))))).alias("_t"))
     template = saved(template, "line-templates")
     counts = template.groupBy("_t").agg(F.sum("c").alias("n")).where(F.col("n") >= min_docs).select("_t")
-    return template.join(counts, "_t").select("_h", "c", "_t")
+    return template.join(counts, "_t").select("_h", "c", "_o", "_t")
 
 
-def _drop_lines(docs: DataFrame, hits: DataFrame, max_share: float = 1.0) -> DataFrame:
-    """``docs`` without the lines of ``hits`` (_key, _pos, _len), except in texts of which they hold more than ``max_share``."""
-    hits = hits.groupBy("_key").agg(F.collect_list("_pos").alias("_drop"), F.sum("_len").alias("_gone"))
+def _drop_lines(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """``docs`` without the lines of ``hits`` (_key, _pos)."""
+    hits = hits.groupBy("_key").agg(F.collect_list("_pos").alias("_drop"))
     keyed = docs.select(F.struct("*").alias("row"), "text", F.xxhash64("text").alias("_key"))
     out = keyed.join(hits, "_key", "left").withColumn("_lines", F.split("text", "\n"))
-    out = out.withColumn("_cut", F.coalesce(F.col("_gone") <= F.length("text") * max_share, F.lit(False)))
+    out = out.withColumn("_cut", F.col("_drop").isNotNull())
     out = out.withColumn("_keep", F.when(F.col("_cut"), F.array_except(
         F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))))
     text = F.when(F.col("_cut"), F.array_join(
@@ -129,11 +106,12 @@ def recurring_lines(hits: DataFrame, templates: DataFrame, min_docs: int = MIN_D
 
     ``hits`` has the lines of ``templates`` once for each text and position. A text is a group of its own, unless lines
     that as they are (masked) stand in ``min_docs`` texts make up more than ``copy_share`` of its lines and of its
-    characters: then it is a near copy, and near copies whose smallest such line is the same are one group.
+    characters: then it is a near copy, and near copies are one group if the same such line is the rarest of each (the
+    first by md5 among equally rare ones). The rarest is the family's own where families share a common line.
     """
     copies = hits.where(F.col("c") >= min_docs).groupBy("_key").agg(
         F.count("*").alias("n"), F.sum("_len").alias("len"), F.max("_rows").alias("_rows"), F.max("_chars").alias("_chars"),
-        F.min("_h").alias("_family")).where(
+        F.min(F.struct("c", "_o", "_h"))["_h"].alias("_family")).where(
         (F.col("n") > F.col("_rows") * copy_share) & (F.col("len") > F.col("_chars") * copy_share)).select("_key", "_family")
     groups = hits.select("_key", "_h").join(copies, "_key", "left").select(
         "_h", F.struct(F.col("_family").isNotNull().alias("near"), F.coalesce("_family", "_key").alias("id")).alias("_group")).distinct()
@@ -156,26 +134,16 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_constant: float =
     """
     lines = saved(_lines(docs), "lines")
     templates = saved(line_templates(docs, lines, min_docs, min_constant), "line-candidates")
-    hits = lines.join(templates.groupBy("_h").agg(F.max("c").alias("c")), "_h").groupBy("_key", "_pos").agg(
-        *[F.max(x).alias(x) for x in ("_len", "_h", "_chars", "_rows", "c")])
+    hits = lines.join(templates.groupBy("_h").agg(F.max("c").alias("c"), F.max("_o").alias("_o")), "_h").groupBy("_key", "_pos").agg(
+        *[F.max(x).alias(x) for x in ("_len", "_h", "_chars", "_rows", "c", "_o")])
     hits = saved(hits, "line-hits")
     found = saved(recurring_lines(hits, templates, min_docs, copy_share), "recurring-lines")
     return _drop_lines(docs, hits.join(found, "_h"))
 
 
-def line_dedup_by_count(docs: DataFrame, min_docs: int = MIN_DOCS, min_constant: float = MIN_CONSTANT,
-                        max_share: float = MAX_SHARE) -> DataFrame:
-    """The rule of ``OP8_SQL``: as ``line_dedup``, but constants are found by ``recurring_by_count``, every text counts,
-    lines under ``MIN_TOKENS`` stay, and a text of whose characters recurring lines hold more than ``max_share`` stays whole."""
-    lines = saved(_lines(docs, MIN_TOKENS), "lines")
-    found = saved(recurring_by_count(docs, lines, min_docs, min_constant).select("_h"), "recurring-lines")
-    hits = lines.join(found, "_h").groupBy("_key", "_pos").agg(F.max("_len").alias("_len"))
-    return _drop_lines(docs, hits, max_share)
-
-
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return line_dedup_by_count(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

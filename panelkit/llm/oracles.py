@@ -47,8 +47,8 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_a
 FROM d LEFT JOIN w USING (doc_id)
 """
 
-_D, _DEPTH, _TOKENS, _CONST, _SHARE = (
-    line_dedup.MIN_DOCS, line_dedup.DEPTH, line_dedup.MIN_TOKENS, line_dedup.MIN_CONSTANT, line_dedup.MAX_SHARE)
+_D, _DEPTH, _CONST, _COPY = line_dedup.MIN_DOCS, line_dedup.DEPTH, line_dedup.MIN_CONSTANT, line_dedup.COPY_SHARE
+_SHARES, _LEAST = ", ".join(f"({x!r}::DOUBLE)" for x in line_dedup.MIN_SHARES), min(x for x in line_dedup.MIN_SHARES if x)
 OP8_SQL = f"""
 WITH txt AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 raw AS (
@@ -60,22 +60,31 @@ toks AS (
                         lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END) AS k
   FROM raw),
 ln AS (SELECT text, pos, chars, k, array_to_string(k, ' ') AS masked, len(k) AS n, array_to_string(k[1:{_DEPTH}], ' ') AS lead
-       FROM toks WHERE len(k) >= {_TOKENS}),
-per AS (SELECT n, lead, masked, any_value(k) AS k, count(DISTINCT text) AS c FROM ln GROUP BY ALL),
-leaf AS (SELECT n, lead FROM per GROUP BY ALL HAVING sum(c) >= {_D}),
-tok AS (SELECT n, lead, masked, c, unnest(generate_series(1, len(k))) AS p, unnest(k) AS t FROM per JOIN leaf USING (n, lead)),
-com AS (SELECT n, lead, p, t FROM tok WHERE t <> '<*>' GROUP BY ALL HAVING sum(c) >= {_D}),
+       FROM toks WHERE array_to_string(k, ' ') <> ''),
+per AS (SELECT n, lead, masked, any_value(k) AS k, count(DISTINCT text) AS c FROM ln GROUP BY n, lead, masked),
+leaf AS (SELECT n, lead, sum(c) AS leaf_c FROM per GROUP BY n, lead HAVING sum(c) >= {_D}),
+tok AS (SELECT n, lead, leaf_c, masked, c, unnest(generate_series(1, len(k))) AS p, unnest(k) AS t FROM per JOIN leaf USING (n, lead)),
+held AS (
+  SELECT n, lead, p, t, sum(c) / any_value(leaf_c) AS share FROM tok WHERE t <> '<*>' GROUP BY n, lead, p, t HAVING sum(c) >= any_value(leaf_c) * {_LEAST!r}),
 tpl AS (
-  SELECT tok.n, tok.lead, masked, any_value(c) AS c, string_agg(CASE WHEN com.t IS NULL THEN '<*>' ELSE tok.t END, ' ' ORDER BY tok.p) AS template,
-         count(com.t) AS n_const
-  FROM tok LEFT JOIN com ON tok.n = com.n AND tok.lead = com.lead AND tok.p = com.p AND tok.t = com.t GROUP BY tok.n, tok.lead, masked),
-good AS (SELECT * FROM tpl WHERE n_const >= n * {_CONST}),
-rec AS (SELECT masked FROM good WHERE template IN (SELECT template FROM good GROUP BY template HAVING sum(c) >= {_D})),
-hit AS (SELECT text, pos, chars FROM ln WHERE masked IN (SELECT masked FROM rec)),
-cut AS (SELECT text, count(*) AS n FROM hit GROUP BY text HAVING sum(chars) <= length(text) * {_SHARE}),
+  SELECT DISTINCT masked, c, string_agg(CASE WHEN coalesce(share, 0) >= s THEN tok.t ELSE '<*>' END, ' ' ORDER BY tok.p) AS template
+  FROM tok LEFT JOIN held ON held.n = tok.n AND held.lead = tok.lead AND held.p = tok.p AND held.t = tok.t CROSS JOIN (VALUES {_SHARES}) v(s)
+  GROUP BY tok.n, tok.lead, masked, c, s HAVING count(*) FILTER (WHERE coalesce(share, 0) >= s AND tok.t <> '<*>') >= tok.n * {_CONST}),
+cand AS (SELECT * FROM tpl WHERE template IN (SELECT template FROM tpl GROUP BY template HAVING sum(c) >= {_D})),
+hit AS (SELECT text, pos, chars, masked, c FROM ln JOIN (SELECT DISTINCT masked, c FROM cand) USING (masked)),
+copies AS (
+  SELECT text, arg_min(masked, (c, substr(md5(masked), 1, 16))) AS family FROM hit
+  JOIN (SELECT text, count(*) AS n_lines FROM raw WHERE line <> '' GROUP BY text) USING (text)
+  WHERE c >= {_D} GROUP BY text, n_lines HAVING count(*) > n_lines * {_COPY} AND sum(chars) > length(text) * {_COPY}),
+grp AS (SELECT DISTINCT masked, family IS NOT NULL AS near, coalesce(family, text) AS id FROM hit LEFT JOIN copies USING (text)),
+rec AS (
+  SELECT DISTINCT masked FROM cand WHERE template IN (
+    SELECT template FROM (SELECT DISTINCT template, near, id FROM cand JOIN grp USING (masked)) GROUP BY template HAVING count(*) >= {_D})),
+gone AS (SELECT text, pos FROM ln WHERE masked IN (SELECT masked FROM rec)),
+cut AS (SELECT text, count(*) AS n FROM gone GROUP BY text),
 kept AS (
-  SELECT raw.text, string_agg(line, chr(10) ORDER BY raw.pos) FILTER (WHERE h.pos IS NULL) AS t
-  FROM raw JOIN cut USING (text) LEFT JOIN hit h ON h.text = raw.text AND h.pos = raw.pos GROUP BY raw.text)
+  SELECT raw.text, string_agg(line, chr(10) ORDER BY raw.pos) FILTER (WHERE g.pos IS NULL) AS t
+  FROM raw JOIN cut USING (text) LEFT JOIN gone g ON g.text = raw.text AND g.pos = raw.pos GROUP BY raw.text)
 SELECT doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(cut.n, 0)::BIGINT AS n_dropped,
        sha256(CASE WHEN cut.n IS NULL THEN coalesce(d.text, '') ELSE coalesce(kept.t, '') END) AS kept_sha256
 FROM documents d LEFT JOIN cut ON cut.text = d.text LEFT JOIN kept ON kept.text = d.text
