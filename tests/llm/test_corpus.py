@@ -438,6 +438,43 @@ def test_short_texts_lose_their_licence_line(spark):
     assert all(got[i]["text"] == "\n".join(x for x in t.split("\n") if x != licence) and got[i]["n_dropped"] == 1 for i, t in rows)
 
 
+def boilerplate(n):
+    """n texts with a two-field line and the line Menu, in prose that no other text has."""
+    r = random.Random(n)
+    value = ["".join(r.choice("mnopqrst") for _ in range(8)) for _ in range(200)]
+    return [(i, f"Menu\n{prose_line(r, 30)}\nShared by user {r.choice(value)} for {r.choice(value)} from here\n{prose_line(r, 30)}") for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [300, 6_000])
+def test_query_drops_planted_lines_at_any_size(spark, tmp_path, n):
+    rows = boilerplate(n)
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in line_dedup.op8_line_dedup(spark, str(tmp_path)).collect()}
+    want = {i: hashlib.sha256("\n".join(t.split("\n")[1::2]).encode()).hexdigest() for i, t in rows}
+    right = sum(got[i]["n_dropped"] == 2 and got[i]["kept_sha256"] == want[i] for i in want)
+    assert right >= 0.9 * n and right == n
+
+
+def test_line_sql_on_hard_rows_and_families(spark, corpus, tmp_path):
+    """The SQL states the rule by itself; families of near copies share a common line, which many families together carry."""
+    r = random.Random(16)
+    rows = corpus[1] + [(10_000 + i, t) for i, t in boilerplate(60)]
+    common = "Provided by the open archive of letters"
+    for f in range(12):
+        body = [prose_line(r) for _ in range(10)]
+        rows += [(20_000 + 100 * f + i, "\n".join([b if j != i % 10 else prose_line(r) for j, b in enumerate(body)] + [common])) for i in range(20)]
+    d = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(d)
+    got = line_dedup.op8_line_dedup(spark, str(tmp_path))
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{d}/*.parquet'")
+    cols = sorted(got.columns)
+    assert rows_of(got, *cols) == sorted(c.execute(f"select {', '.join(cols)} from ({queries.ORACLES['op8_line_dedup']})").fetchall(), key=str)
+    by = {x["doc_id"]: x["n_dropped"] for x in got.collect()}
+    # the common line goes from every family, the families' own lines stay
+    assert all(by[20_000 + 100 * f + i] == 1 for f in range(12) for i in range(20))
+
+
 def test_short_lines_recur(spark):
     r = random.Random(15)
     rows = [(i, f"Menu\n{prose_line(r, 30)}\n\n  Read   more\n{i}\nPage {i}\n{prose_line(r, 30)}\nonce{chr(97 + i)}\n") for i in range(20)]
