@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.operators.clean import columns_like
 
@@ -63,6 +64,49 @@ def rolling_mean(df: DataFrame, cols: list[str], n: int = 3, min_periods: int =
     return out.unionByName(rest.withColumns({f"roll{n}_{c}": F.lit(None).cast("double") for c in cols}))
 
 
+def rolling_mean_ranged(df: DataFrame, cols: list[str], n: int = 3, min_periods: int = 1, keys=("name",), order=("GW", "seq"), shift: int = 0,
+                        ranges: int = 64) -> DataFrame:
+    """As ``rolling_mean``, for entities that may be larger than a task: the same rows without a shuffle on the keys alone.
+
+    The rows are cut into about ``ranges`` ranges of (keys, order) that may divide an entity. Each range takes along the
+    last rows of the ranges before it that a window can reach, which are computed and then left out. A sample of keys by
+    hash only sets the cuts; about 40 keys a range are read for it when the function is called. (keys, order) must be unique.
+    """
+    there = F.lit(True)
+    for k in keys:
+        there = there & F.col(k).isNotNull()
+    place = F.struct(*keys, *order)
+    known, rest = df.where(there), df.where(~there)
+    counted = known.select(place.alias("_o"), F.xxhash64(*keys, *order).alias("_h"))
+    total = counted.count()
+    one_in = max(1, total // (40 * ranges))
+    seen = [r["_o"] for r in counted.where(F.pmod("_h", F.lit(one_in)) == 0).select("_o").sort("_o").collect()]  # about 40 * ranges keys
+    kind = known.select(place.alias("_o")).schema["_o"].dataType
+    cuts = [seen[i * len(seen) // ranges] for i in range(1, ranges)] if len(seen) >= ranges else seen
+    bounds = F.broadcast(df.sparkSession.createDataFrame([(cuts,)], T.StructType([T.StructField("_cuts", T.ArrayType(kind))])))  # one row
+    steps = F.array(*[F.lit(2**s) for s in reversed(range(max(1, len(cuts).bit_length())))])
+    size = len(cuts)
+    at = F.aggregate(steps, F.lit(0), lambda p, s: F.when((p + s <= size) & (place >= F.get("_cuts", p + s - 1)), p + s).otherwise(p))
+    rows = known.crossJoin(bounds).withColumn("_range", at).drop("_cuts")
+    reach = n - 1 + shift
+    rows = rows.withColumn("_own", F.lit(True))
+    if reach:
+        back = F.row_number().over(Window.partitionBy("_range").orderBy(*[F.col(c).desc() for c in (*keys, *order)]))
+        tail = rows.withColumn("_back", back).where(F.col("_back") <= reach)  # at most ``reach`` rows of each range
+        per_range = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+        # a range's tail reaches the next ranges as long as fewer than ``reach`` rows lie between; empty ranges do not count
+        order_ = Window.orderBy("_range")  # one row a range
+        held = per_range.withColumn("_i", F.row_number().over(order_)).withColumn("_upto", F.sum(F.least(F.col("_n"), F.lit(reach))).over(order_))
+        source = held.select(F.col("_range").alias("_from"), F.col("_i").alias("_fi"), F.col("_upto").alias("_fu"))
+        goal = held.select(F.col("_range").alias("_to"), F.col("_i").alias("_ti"), (F.col("_upto") - F.least(F.col("_n"), F.lit(reach))).alias("_tu"))
+        hops = source.withColumn("_ti", F.explode(F.sequence(F.col("_fi") + 1, F.col("_fi") + reach))).join(goal, "_ti").select("_from", "_to", (F.col("_tu") - F.col("_fu")).alias("_gap"))
+        halo = tail.join(F.broadcast(hops), F.col("_range") == F.col("_from")).where(F.col("_back") + F.col("_gap") <= reach)
+        rows = rows.unionByName(halo.withColumns({"_range": F.col("_to"), "_own": F.lit(False)}).drop("_from", "_to", "_gap", "_back"))
+    w = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(-reach, -shift)
+    out = rows.withColumns({f"roll{n}_{c}": F.when(F.count(c).over(w) >= min_periods, F.avg(c).over(w)) for c in cols}).where("_own").drop("_range", "_own")
+    return out.unionByName(rest.withColumns({f"roll{n}_{c}": F.lit(None).cast("double") for c in cols}))
+
+
 def entity_profile(df: DataFrame, keys=("name", "team"), cols: list[str] | None = None) -> DataFrame:
     """Mean of every numeric column (or ``cols``) by entity."""
     cols = cols or [c for c in columns_like(df) if c not in keys]

@@ -6,7 +6,7 @@ from itertools import product
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import hash_unit
@@ -36,9 +36,39 @@ def split(df: DataFrame, keys: list[str], share: float = 0.8, seed: int = 42) ->
     return hash_unit(*[F.col(k) for k in keys], seed=seed) < share
 
 
-def stratified(df: DataFrame, label: str, keys: list[str], share: float = 0.75, seed: int = 42) -> Column:
-    """As ``split``, drawn apart in each stratum; the share holds in expectation."""
-    return hash_unit(F.col(label), *[F.col(k) for k in keys], seed=seed) < share
+def stratified(df: DataFrame, label: str, keys: list[str], share: float = 0.75, seed: int = 42) -> DataFrame:
+    """``df`` with ``train``: true for exactly round(share * n) of the n rows of each stratum, halves up.
+
+    A stratum's rows are drawn by a hash of the keys (60 bits of md5), ties by the keys. Where the last drawn row lies is
+    found by counting hashes in 2^15 ranges and then in 2^15 ranges of the range that holds it, so no task sees a
+    whole stratum; only the few rows of that last range are sorted. Rows without a label are a stratum; rows that agree in
+    all keys are interchangeable. Columns named like the steps' (``_h`` and so on) or ``train`` are replaced.
+    """
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    rows = df.drop("train").withColumns({"_h": h, "_l": F.col(label)}).withColumns({
+        "_a": F.shiftright("_h", 45), "_b": F.shiftright("_h", 30).bitwiseAND(F.lit(32767))})
+    wanted = F.floor(F.col("_n") * share + 0.5)
+
+    def place(counts: DataFrame, at: str) -> DataFrame:
+        """The range in which a stratum's last training row lies, and how many rows are wanted of it."""
+        upto = F.sum("_c").over(Window.partitionBy("_l").orderBy(at).rowsBetween(Window.unboundedPreceding, 0))
+        found = counts.withColumn("_upto", upto).where((F.col("_upto") - F.col("_c") < F.col("_want")) & (F.col("_want") <= F.col("_upto")))
+        return found.select(F.col("_l").alias("_ll"), F.col(at).alias(f"_cut{at}"), (F.col("_want") - F.col("_upto") + F.col("_c")).alias(f"_of{at}"))
+
+    counts = rows.groupBy("_l", "_a").agg(F.count("*").alias("_c"))
+    counts = counts.withColumn("_n", F.sum("_c").over(Window.partitionBy("_l"))).withColumn("_want", wanted)
+    first = place(counts, "_a")
+    inner = rows.join(first, F.col("_l").eqNullSafe(F.col("_ll")) & (F.col("_a") == F.col("_cut_a"))).groupBy("_l", "_b").agg(
+        F.count("*").alias("_c"), F.max("_of_a").alias("_want"))
+    cuts = first.join(place(inner, "_b").withColumnRenamed("_ll", "_l2"), F.col("_ll").eqNullSafe(F.col("_l2"))).drop("_l2")
+    # strata of which no row is wanted have no cut
+    marked = rows.join(cuts, F.col("_l").eqNullSafe(F.col("_ll")), "left")
+    edge = F.coalesce((F.col("_a") == F.col("_cut_a")) & (F.col("_b") == F.col("_cut_b")), F.lit(False))
+    below = F.coalesce((F.col("_a") < F.col("_cut_a")) | ((F.col("_a") == F.col("_cut_a")) & (F.col("_b") < F.col("_cut_b"))), F.lit(False))
+    last = F.row_number().over(Window.partitionBy("_l").orderBy("_h", *keys)) <= F.col("_of_b")
+    out = marked.where(~edge).withColumn("train", below).unionByName(marked.where(edge).withColumn("train", last))
+    return out.select(*[c for c in df.columns if c != "train"], "train")
 
 
 def forest_regressor(trees=200, leaf=5, depth=8, features="sqrt", seed=42, label="label"):

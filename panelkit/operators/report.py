@@ -46,35 +46,56 @@ def trend_impact(df: DataFrame, x: str, raw: str, adjusted: str) -> DataFrame:
     return out.withColumn("change_pct", change)
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = 1024) -> DataFrame:
-    """One row: the exact quantile, linearly interpolated, without gathering the values in one task.
+def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: tuple = (), buckets: int = 256) -> DataFrame:
+    """keys, q, value: exact quantiles, linearly interpolated, of every group, as one lazy plan that scans ``df`` twice.
 
-    Each pass counts the values of the current range in ``buckets`` buckets and narrows the range to those that hold
-    the two order statistics, until one bucket holds few distinct values.
+    The first scan gives each group approximate bounds of ``buckets`` ranges; they only balance the work. The second counts
+    the different values by group and range; ranges are placed by their counts and each ranks its values, so no task
+    holds more than one range. Exact copies of a value are one row before the shuffle.
+
+    Missing values count nowhere; a group without values has none. A group with a NaN has NaN quantiles, as NumPy's.
+    Infinities are values like others; between two values of which one is infinite the result is what arithmetic gives
+    (NaN between both infinities), a rank that needs no interpolation is the value itself. Null keys are a group.
     """
-    rows = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
-    first = rows.agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    spark = df.sparkSession
-    if not first["n"]:
-        return spark.createDataFrame([(None,)], "q double")
-    rank = q * (first["n"] - 1)
-    at, found = [int(rank), min(int(rank) + 1, first["n"] - 1)], []
-    for r in at:
-        lo, hi, below = first["lo"], first["hi"], 0
-        while True:
-            inside = rows.where((F.col("x") >= lo) & (F.col("x") <= hi))
-            width = (hi - lo) / buckets
-            if width == 0 or lo + width == lo:
-                found.append(lo)
-                break
-            bucket = F.least(F.floor((F.col("x") - lo) / width), F.lit(buckets - 1))
-            counts = inside.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("b").collect()
-            for c in counts:  # at most ``buckets`` rows
-                if below + c["n"] > r:
-                    break
-                below += c["n"]
-            lo, hi = c["lo"], c["hi"]
-    return spark.createDataFrame([(found[0] + (found[1] - found[0]) * (rank - at[0]),)], "q double")
+    x = F.col("_x")
+    rows = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(col).cast("double").alias("_x"))
+    rows = rows.withColumn("_x", F.when(x == 0, F.lit(0.0)).otherwise(x))  # one zero
+    names = [f"_k{i}" for i in range(len(keys))]
+    steps = max(1, (buckets - 1).bit_length())
+    n_bounds = 2**steps - 1
+    shares = F.array(*[F.lit((i + 1) / (n_bounds + 1)) for i in range(n_bounds)])
+    nan = F.isnan(x)
+    bounds = rows.groupBy(*names).agg(
+        F.percentile_approx(F.when(~nan, x), shares, F.lit(8 * (n_bounds + 1))).alias("_b"), F.count(F.when(~nan, x)).alias("_n"), F.max(F.coalesce(nan, F.lit(False))).alias("_nan"))
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in names] or F.lit(True)
+    # values above a bound lie beyond it: the number of bounds below a value by halving steps
+    found = F.aggregate(F.array(*[F.lit(2**s) for s in reversed(range(steps))]), F.lit(0),
+                        lambda at, s: F.when(x > F.get("_b", at + s - 1), at + s).otherwise(at))
+    # both uses of the bounds, and both of the values, ask for the same columns, so Spark makes each shuffle once
+    placed = rows.where(x.isNotNull() & ~nan).alias("r").join(bounds.where(~F.col("_nan")).alias("b"), same("r", "b")).select(*[F.col(f"r.{k}").alias(k) for k in names], "_x", "_n", found.alias("_at"))
+    values = placed.groupBy(*names, "_at", "_x").agg(F.count("*").alias("_c"), F.first("_n").alias("_n"))
+    # at most ``buckets`` rows a group
+    totals = values.groupBy(*names, "_at").agg(F.sum("_c").alias("_t"), F.max("_n").alias("_m")).withColumn(
+        "_below", F.coalesce(F.sum("_t").over(Window.partitionBy(*names).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
+    in_range = Window.partitionBy(*names, "_at").orderBy("_x")
+    values = values.withColumn("_up", F.sum("_c").over(in_range.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = values.alias("v").join(totals.alias("t"), [*([] if not names else same("v", "t")), F.col("v._at") == F.col("t._at"), F.col("v._n") == F.col("t._m")]).select(
+        *[F.col(f"v.{k}").alias(k) for k in names], "_x", "_n", (F.col("_below") + F.col("_up") - F.col("_c")).alias("_first"), (F.col("_below") + F.col("_up") - 1).alias("_last"))
+    # the rows that hold a wanted rank: the one at or below it and the one above
+    wanted = F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q")
+    hits = ranked.select("*", wanted).withColumn("_rank", F.col("q") * (F.col("_n") - 1))
+    low, high = F.floor("_rank"), F.least(F.floor("_rank") + 1, F.col("_n") - 1)
+    hits = hits.where(((F.col("_first") <= low) & (low <= F.col("_last"))) | ((F.col("_first") <= high) & (high <= F.col("_last"))))
+    ends = hits.groupBy(*names, "q").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.max(F.col("_rank") - low).alias("_part"))
+    value = F.when((F.col("_part") == 0) | (F.col("_lo") == F.col("_hi")), F.col("_lo")).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part"))
+    groups = bounds.select(*names, "_nan", ((F.col("_n") > 0) & F.col("_b").isNotNull()).alias("_any"), wanted)
+    out = groups.alias("g").join(ends.alias("e"), [*([] if not names else same("g", "e")), F.col("g.q") == F.col("e.q")], "left")
+    return out.select(*[F.col(f"g.{k}").alias(c) for k, c in zip(names, keys)], F.col("g.q").alias("q"), F.when(F.col("_nan"), F.lit(float("nan"))).when(F.col("_any"), value).alias("value"))
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = 256) -> DataFrame:
+    """One row: the quantile ``q`` of all values, see ``exact_quantiles``."""
+    return exact_quantiles(df, col, [q], (), buckets).select(F.col("value").alias("q"))
 
 
 def percentile_scaled(df: DataFrame, col: str, alias: str, q: float = 0.99, cap: float = 0.35) -> DataFrame:

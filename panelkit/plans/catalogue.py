@@ -25,15 +25,17 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 _SPARK_KIND = {
     "int": lambda c: F.col(f"`{c}`").cast("bigint"), "num": lambda c: F.round(F.col(f"`{c}`").cast("double"), 9) + 0.0,
+    "near": lambda c: F.round(F.col(f"`{c}`").cast("double"), 6) + 0.0,
     "text": lambda c: F.col(f"`{c}`").cast("string"), "flag": lambda c: F.col(f"`{c}`").cast("int").cast("bigint"),
     "time": lambda c: F.date_format(F.col(f"`{c}`"), "yyyy-MM-dd HH:mm:ss")}
 _SQL_KIND = {
-    "int": 'CAST("{c}" AS BIGINT)', "num": 'round(CAST("{c}" AS DOUBLE), 9) + 0.0', "text": 'CAST("{c}" AS VARCHAR)',
+    "int": 'CAST("{c}" AS BIGINT)', "num": 'round(CAST("{c}" AS DOUBLE), 9) + 0.0', "near": 'round(CAST("{c}" AS DOUBLE), 6) + 0.0',
+    "text": 'CAST("{c}" AS VARCHAR)',
     "flag": 'CAST(CAST("{c}" AS INT) AS BIGINT)', "time": "strftime(\"{c}\", '%Y-%m-%d %H:%M:%S')"}
 
 
 def query(ops: str, columns: str, sql: str | None = None):
-    """Register the decorated function; ``columns`` is like "name team:text n:int x:num" (text if no kind is given)."""
+    """Register the decorated function; ``columns`` is like "name team:text n:int x:num" (text if no kind is given; near: 6 digits)."""
     spec = tuple((c.partition(":")[0], c.partition(":")[2] or "text") for c in columns.split())
 
     def add(f):
@@ -51,7 +53,7 @@ def _typed(q: Query):
 
 
 def _load() -> None:
-    from panelkit.plans import q_features, q_ingest, q_models, q_reports, q_squads  # noqa: F401
+    from panelkit.plans import q_features, q_ingest, q_learning, q_models, q_reports, q_squads  # noqa: F401
 
 
 def queries() -> dict:

@@ -200,6 +200,11 @@ def rolling3_shift(spark, sf):
     return features.rolling_mean(panel(spark, sf), ["minutes", "yellow_cards"], shift=1)
 
 
+@query("E1", "seq:int roll3_minutes:num roll3_yellow_cards:num", _rolling(0))
+def rolling3_ranged(spark, sf):
+    return features.rolling_mean_ranged(panel(spark, sf), ["minutes", "yellow_cards"], ranges=16)
+
+
 _BLEND = "WITH " + _FIRST + """,
 prof AS (SELECT name, team, team_id, arg_min(position, (GW, seq)) FILTER (position IS NOT NULL) AS position, avg(minutes) AS minutes, avg(goals_scored) AS raw
   FROM v_panel WHERE GW <= 29 GROUP BY name, team, team_id),

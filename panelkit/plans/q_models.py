@@ -19,9 +19,10 @@ def split80(spark, sf):
     return panel(spark, sf).select("seq", models.split(None, ["seq"]).alias("train"))
 
 
-@query("M3", "seq:int train:flag", f"SELECT seq, {_hash('clean_sheets::VARCHAR, seq::VARCHAR', 42)} < 0.75 AS train FROM v_panel")
+@query("M3", "seq:int position train:flag", """WITH h AS (SELECT seq, position, md5(concat_ws('|', seq::VARCHAR, '42'))[1:15] AS h FROM v_panel),
+r AS (SELECT seq, position, row_number() OVER (PARTITION BY position ORDER BY h, seq) <= floor(count(*) OVER (PARTITION BY position) * 0.75 + 0.5) AS train FROM h)""")
 def stratified_split(spark, sf):
-    return panel(spark, sf).select("seq", models.stratified(None, "clean_sheets", ["seq"]).alias("train"))
+    return models.stratified(panel(spark, sf), "position", ["seq"])
 
 
 @query("M1", "seq:int n:int total:num", "SELECT seq, 3 AS n, minutes + threat + bps AS total FROM v_panel WHERE bps IS NOT NULL AND minutes IS NOT NULL")

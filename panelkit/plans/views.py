@@ -40,6 +40,13 @@ SELECT gw, gw * 100 + 50, 0, 1, day + 22 * INTERVAL 1 HOUR FROM (SELECT DISTINCT
 _SPARK = {"s": "STRING", "k": "CAST(get_json_object(props, '$.k') AS DOUBLE)", "gw": "datediff(to_date(ts), DATE'2024-01-01') + 1"}
 _DUCK = {"s": "VARCHAR", "k": "CAST(json_extract_string(props, '$.k') AS DOUBLE)", "gw": "CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INT)"}
 
+#: Further columns of the panel, the same text in both.
+_WIDE = """CASE WHEN seq % 43 = 0 THEN NULL ELSE threat / 20 + bonus END AS xP, CAST((seq * 37) % 1009 AS INT) AS transfers_in,
+  threat * minutes / 9000 + goals_scored * 0.3 AS expected_goals, (influence + creativity + threat) / 10 AS ict_index,
+  CASE WHEN minutes >= 60 THEN 1 ELSE 0 END AS starts, CAST(seq % 6 AS INT) AS saves, creativity / 400 + assists * 0.2 AS expected_assists"""
+#: A step that oracles of wide queries put first.
+WIDE_CTE = f"v_wide AS (SELECT *, {_WIDE} FROM v_panel)"
+
 #: CTEs that open every oracle.
 CTES = f"WITH v_panel AS ({_PANEL.format(**_DUCK)}), v_teams AS ({_TEAMS}), v_fixtures AS ({_FIXTURES.format(**_DUCK)})"
 
@@ -52,6 +59,11 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_PANEL.format(**_SPARK).replace("FROM events", "FROM {events}"), events=table(spark, sf_dir, "events"))
 
 
+def wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with the further columns that the models' feature lists ask for."""
+    return spark.sql(f"SELECT *, {_WIDE} FROM {{p}}", p=panel(spark, sf_dir))
+
+
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: table(spark, sf_dir, n)
     return spark.sql(_TEAMS.replace("FROM nation", "FROM {nation}").replace("FROM supplier", "FROM {supplier}").replace("FROM customer", "FROM {customer}"),
