@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
+from panelkit.shared import shared_dir
 from panelkit.operators import clean
 from panelkit.plans.catalogue import query
 from panelkit.plans.views import fixtures, panel, table
 from panelkit.sources import ingest
-from panelkit.streaming.incremental import ingest_batch
+from panelkit.streaming.incremental import append_once, ingest_batch, stream_panel
 
 _NARROW = ["name", "seq", "GW", "minutes", *[f"c{i}" for i in range(38)]]           # 42 cells
 _WIDE = ["name", "seq", "extra", "GW", "minutes", *[f"c{i}" for i in range(44)]]     # 49 cells
@@ -97,6 +100,60 @@ def latest_snapshot(spark, sf):
     return ingest.latest_snapshot(panel(spark, sf))
 
 
+@query("A11", "seq:int GW:int minutes:num period:int", "SELECT seq, GW, minutes, GW AS period FROM v_panel WHERE GW = 10")
+def latest_named(spark, sf):
+    """Snapshots of periods 8 to 10 lie in the second folder; the first has files without a period in their name."""
+    root = f"{shared_dir(spark)}/snapshots-{uuid.uuid4().hex}"
+    rows = panel(spark, sf).select("seq", "GW", "minutes")
+    rows.where("GW = 12").write.parquet(f"{root}/first/latest.parquet")
+    for gw in (9, 10, 8):
+        rows.where(F.col("GW") == gw).write.parquet(f"{root}/second/GW{gw}_Predicted.parquet")
+    return ingest.latest_named(spark, [f"{root}/none", f"{root}/first", f"{root}/second"])
+
+
+@query("A12", "name team minutes:num threat:num", "SELECT name, team, minutes, threat FROM v_panel WHERE GW = 20")
+def sink_predictions(spark, sf):
+    """Written twice, read back."""
+    path = f"{shared_dir(spark)}/predictions-{uuid.uuid4().hex}"
+    rows = panel(spark, sf).where("GW = 20")
+    for part in (rows.where("minutes > 30"), rows):
+        ingest.write_predictions(part, path, ["name", "team", "not_there", "minutes", "threat"], ["-minutes", "name", "seq"])
+    return spark.read.option("header", True).csv(path)
+
+
+@query("A13", "element:int name", "SELECT DISTINCT element, name FROM v_panel")
+def sink_if_absent(spark, sf):
+    """The second writing, of other rows, leaves the first."""
+    path = f"{shared_dir(spark)}/elements-{uuid.uuid4().hex}"
+    rows = panel(spark, sf).select("element", "name").distinct()
+    for part in (rows, rows.where("element % 2 = 0").withColumn("name", F.lit("other"))):
+        ingest.write_if_absent(part, path)
+    return spark.read.parquet(path)
+
+
+@query("A14", "GW:int seq:int minutes:num", "SELECT GW, seq, minutes + CASE WHEN GW BETWEEN 8 AND 12 THEN 1 ELSE 0 END AS minutes FROM v_panel WHERE GW <= 12")
+def sink_snapshots(spark, sf):
+    """Periods 1 to 10, then 8 to 12 corrected, twice: the corrected periods replace, nothing is doubled."""
+    path = f"{shared_dir(spark)}/periods-{uuid.uuid4().hex}"
+    rows = panel(spark, sf).select("GW", "seq", "minutes")
+    ingest.write_period_snapshots(rows.where("GW <= 10"), path)
+    for _ in range(2):
+        ingest.write_period_snapshots(rows.where("GW BETWEEN 8 AND 12").withColumn("minutes", F.col("minutes") + 1), path)
+    return spark.read.parquet(path)
+
+
+_PROFILED = {"seq": "n", "name": "t", "GW": "n", "team": "t", "position": "t", "opponent_team": "n", "was_home": "f", "minutes": "n", "threat": "n", "yellow_cards": "n", "ts": "s"}
+_EDGE = {"n": ("min({c})::DOUBLE", "max({c})::DOUBLE", "NULL", "NULL"), "f": ("min({c}::INT)::DOUBLE", "max({c}::INT)::DOUBLE", "NULL", "NULL"),
+         "t": ("NULL::DOUBLE", "NULL::DOUBLE", "min({c})", "max({c})"), "s": ("epoch_us(min({c})) / 1e6", "epoch_us(max({c})) / 1e6", "NULL", "NULL")}
+
+
+@query("D17", "column n:int n_null:int lo:num hi:num first last", "WITH r AS (" + " UNION ALL ".join(
+    "SELECT '{c}' AS \"column\", count(*) AS n, count(*) - count({c}) AS n_null, {0} AS lo, {1} AS hi, {2} AS \"first\", {3} AS \"last\" FROM v_panel".format(
+        *[x.format(c=c) for x in _EDGE[k]], c=c) for c, k in _PROFILED.items()) + ")")
+def profile(spark, sf):
+    return ingest.profile(panel(spark, sf).select(*_PROFILED))
+
+
 @query("A15", "seq:int x:num", """
   SELECT seq, CASE WHEN v = 0 THEN 0 ELSE round_even(v / pow(10.0, floor(log10(abs(v))) - 3), 0) * pow(10.0, floor(log10(abs(v))) - 3) END AS x
   FROM (SELECT seq, threat * 1234.5678 + influence AS v FROM v_panel)""")
@@ -111,3 +168,24 @@ def stream_batch(spark, sf):
     rows = panel(spark, sf).withColumn("fixture", F.col("GW") * 100 + F.col("seq") % 7).select("element", "fixture", "seq", "GW")
     return ingest_batch(rows.where("GW <= 10"), rows.where("GW BETWEEN 8 AND 20"))
 
+
+
+@query("S1", "element:int fixture:int seq:int GW:int", """WITH a AS (SELECT *, GW * 100 + seq % 7 AS fixture FROM v_panel WHERE GW <= 20),
+r AS (SELECT element, fixture, min(seq) AS seq, GW FROM a GROUP BY element, fixture, GW)""")
+def stream_ingest(spark, sf):
+    """The stream over files that land in three deliveries, stopped after each and started again from its checkpoint.
+
+    The target starts with periods 1 to 10. The first delivery has periods 8 to 13; the second 14 to 16 and the first's
+    files once more; the third 17 to 20 and a copy of the second's rows in files of other names.
+    """
+    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    rows = panel(spark, sf).where("GW <= 20").withColumn("fixture", F.col("GW") * 100 + F.col("seq") % 7).select(
+        "element", "fixture", "seq", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("kickoff"), "GW")
+    schema, target = "element bigint, fixture bigint, seq bigint, kickoff timestamp, GW int", f"{root}/target"
+    typed = rows.select(*[F.col(c).cast(k).alias(c) for c, k in (x.split() for x in schema.split(", "))])
+    append_once(typed.where("GW <= 10"), 0, target, f"{root}/loaded", order="seq")
+    for low, high, again in ((8, 13, None), (14, 16, (8, 13)), (17, 20, (14, 16))):
+        for a, b in filter(None, ((low, high), again)):
+            rows.where(F.col("GW").between(a, b)).write.mode("append").option("header", True).csv(f"{root}/landed")
+        stream_panel(spark, f"{root}/landed", schema, target, f"{root}/checkpoint", order="seq", row_keys=("element", "fixture", "seq")).awaitTermination()
+    return spark.read.schema(schema).parquet(target)
