@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
+from typing import NamedTuple
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -11,14 +15,25 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import hash_unit
 from panelkit.operators.clean import available
+from panelkit.shared import saved
 
 # Fixed by the models: feature lists.
 FEATURES = {
-    "goals": ["minutes", "threat", "creativity", "influence", "ict_index", "expected_goals", "bps", "value", "selected", "transfers_in"],
-    "assists": ["minutes", "creativity", "influence", "ict_index", "expected_assists", "threat"],
-    "cards": ["minutes", "roll3_yellow_cards", "influence", "bps"],
-    "clean_sheets": ["team_cs_avg", "opp_cs_allow", "xgc_avg", "fixture_difficulty_z"],
+    "goals": ["minutes", "xP", "threat", "transfers_in", "expected_goals", "creativity", "ict_index", "starts", "is_forward", "is_midfielder",
+              "is_defender", "is_goalkeeper", "team_attacking", "opp_defending", "fixture_difficulty"],
+    "assists": ["roll3_minutes", "roll3_creativity", "expected_assists", "ict_index", "influence", "transfers_in", "team_attacking",
+                "opp_defending", "fixture_difficulty", "is_forward", "is_midfielder", "is_defender"],
+    "cards": ["roll3_minutes", "roll3_yellow_cards", "roll3_red_cards", "team_attacking", "opp_defending", "fixture_difficulty", "was_home",
+              "is_defender", "is_midfielder", "is_forward"],
+    "bonus": ["roll3_minutes", "roll3_goals_scored", "roll3_assists", "roll3_clean_sheets", "roll3_saves", "roll3_yellow_cards",
+              "roll3_red_cards", "roll3_threat", "roll3_creativity", "roll3_influence", "roll3_ict_index", "team_attacking", "opp_defending",
+              "fixture_difficulty", "is_forward", "is_midfielder", "is_defender", "is_goalkeeper"],
+    "clean_sheets": ["roll3_minutes", "team_def_z", "opp_att_z", "fixture_diff_z", "team_cs_avg", "opp_cs_allow", "team_xgc_z"],
+    "backtest": ["minutes", "xP", "threat", "creativity"],
+    "comparison": ["minutes", "threat", "creativity", "ict_index", "starts"],
 }
+# Fixed by the models: columns that the comparison adds where they exist.
+COMPARISON_OPTIONAL = ["xP", "expected_goals", "expected_goal_involvements"]
 
 
 def feature_list(df: DataFrame, wanted: list[str], optional: dict[str, str] | None = None) -> list[str]:
@@ -72,21 +87,24 @@ def stratified(df: DataFrame, label: str, keys: list[str], share: float = 0.75,
 
 
 def forest_regressor(trees=200, leaf=5, depth=8, features="sqrt", seed=42, label="label"):
+    """Random forest. The models' sizes: goals 200 trees and leaf 5, assists 300 and 10, bonus 300 and 5, clean sheets 500 and 30 with all features."""
     from pyspark.ml.regression import RandomForestRegressor
 
     return RandomForestRegressor(numTrees=trees, minInstancesPerNode=leaf, maxDepth=depth, featureSubsetStrategy=features, seed=seed, labelCol=label)
 
 
-def forest_classifier(trees=400, leaf=5, depth=8, seed=42, label="label"):
+def forest_classifier(trees=400, leaf=20, depth=8, seed=42, label="label"):
     from pyspark.ml.classification import RandomForestClassifier
 
     return RandomForestClassifier(numTrees=trees, minInstancesPerNode=leaf, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed, labelCol=label, weightCol="weight")
 
 
-def boosted_regressor(rounds=100, rate=0.1, depth=3, sample=1.0, seed=42, label="label"):
+def boosted_regressor(rounds=100, rate=0.1, depth=3, sample=1.0, columns=1.0, seed=42, label="label"):
+    """Gradient boosting. The back-test's size: 300 rounds of rate 0.05 and depth 4 with shares of 0.8 of rows and columns."""
     from pyspark.ml.regression import GBTRegressor
 
-    return GBTRegressor(maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=sample, seed=seed, labelCol=label)
+    return GBTRegressor(maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=sample, featureSubsetStrategy="all" if columns >= 1 else str(columns),
+                        seed=seed, labelCol=label)
 
 
 def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -101,13 +119,64 @@ def positive_probability(scored: DataFrame) -> Column:
     return vector_to_array(scored["probability"])[1]
 
 
-def platt(held_out: DataFrame, score: str, label: str = "label"):
-    """Logistic regression on one score, with the penalty 1/n of a unit-weight ridge."""
-    from pyspark.ml.classification import LogisticRegression
+class Calibration(NamedTuple):
+    """1 / (1 + exp(-(slope * score + intercept)))"""
 
-    n = held_out.count()
-    x = VectorAssembler(inputCols=[score], outputCol="features").transform(held_out)
-    return LogisticRegression(maxIter=200, regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, labelCol=label).fit(x)
+    slope: float
+    intercept: float
+
+    @property
+    def coefficients(self) -> list[float]:
+        return [self.slope]
+
+    def probability(self, score: Column) -> Column:
+        return 1 / (1 + F.exp(-(score * self.slope + self.intercept)))
+
+
+def _newton(a: float, b: float, sums: tuple) -> tuple[float, float, float]:
+    """The next (slope, intercept), and the length of the step."""
+    ga, gb, haa, hab, hbb = sums
+    ga, haa = ga + a, haa + 1.0  # the penalty of half the squared slope
+    det = haa * hbb - hab * hab
+    if not det > 0:
+        return a, b, 0.0
+    da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
+    step = max(abs(da), abs(db))
+    shrink = min(1.0, 5.0 / step) if step else 1.0
+    return a - shrink * da, b - shrink * db, step
+
+
+def platt(held_out: DataFrame, score: str, label: str = "label", buckets: int = 4096, tolerance: float = 1e-10) -> Calibration:
+    """Logistic regression on one score with a penalty of half the squared slope, by Newton steps on sums.
+
+    Steps first run on a histogram of scores (counts, score and label sums of ``buckets`` buckets), which is small; from
+    there a few exact steps follow, each one aggregate over the scores. Missing, NaN and infinite scores and missing labels count nowhere;
+    without rows slope and intercept are 0. With labels of one kind the intercept runs off and steps end at their limit.
+    """
+    x = F.col("_s")
+    rows = held_out.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("double").alias("_y"))
+    rows = saved(rows.where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")) & F.col("_y").isNotNull()), "scores")
+    low, high = rows.agg(F.min("_s"), F.max("_s")).first()
+    if low is None:
+        return Calibration(0.0, 0.0)
+    at = F.least(F.floor((x - low) / max(high - low, 1e-300) * buckets), F.lit(buckets - 1))
+    seen = rows.groupBy(at.alias("b")).agg(F.count("*").alias("n"), F.avg("_s").alias("s"), F.sum("_y").alias("y")).collect()  # at most ``buckets`` rows
+    s, n, y = (np.array([r[c] for r in seen], float) for c in ("s", "n", "y"))
+    a = b = 0.0
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a * s + b, -500, 500)))
+        v = n * p * (1 - p)
+        a, b, step = _newton(a, b, (float(((n * p - y) * s).sum()), float((n * p - y).sum()), float((v * s * s).sum()), float((v * s).sum()), float(v.sum())))
+        if step < 1e-9:
+            break
+    for _ in range(20):
+        p = 1 / (1 + F.exp(-(x * a + b)))
+        v = p * (1 - p)
+        g = rows.agg(F.sum((p - F.col("_y")) * x), F.sum(p - F.col("_y")), F.sum(v * x * x), F.sum(v * x), F.sum(v)).first()
+        a, b, step = _newton(a, b, tuple(map(float, g)))
+        if step < tolerance:
+            break
+    return Calibration(a, b)
 
 
 def importance_table(model, features: list[str], spark) -> DataFrame:
@@ -153,27 +222,74 @@ def backtest_means(df: DataFrame, targets: list[str], cutoffs: list[int], window
     return metrics.join(n_train, keys).where("n_train > 0 and n_test > 0")
 
 
-def backtest_model(df: DataFrame, cutoff: int, window: int, estimator, target: str, features: list[str]) -> DataFrame | None:
-    """Metrics of one back-test cell of an MLlib estimator; None if train or test is empty."""
-    ready = feature_vector(df.dropna(subset=[target, *features]).withColumn("label", F.col(target).cast("double")), features)
-    train, test = ready.where(F.col("GW") <= cutoff), ready.where(F.col("GW").between(cutoff + 1, cutoff + window))
-    if train.isEmpty() or test.isEmpty():
-        return None
-    scored = estimator.fit(train).transform(test)
-    return error_metrics(scored, "label", "prediction").withColumns({
-        "target": F.lit(target), "cutoff": F.lit(cutoff), "window": F.lit(window), "n_train": F.lit(train.count()), "n_test": F.col("n")}).drop("n")
+class Cell(NamedTuple):
+    """A row of a grid's results: metrics, or why there are none."""
+
+    model: str
+    target: str
+    cutoff: int
+    window: int
+    mae: float | None
+    rmse: float | None
+    r2: float | None
+    n_train: int
+    n_test: int
+    error: str | None
+
+
+CELLS = "model string, target string, cutoff int, window int, mae double, rmse double, r2 double, n_train bigint, n_test bigint, error string"
+
+
+def feature_matrix(df: DataFrame, targets: list[str], features: list[str]) -> DataFrame:
+    """Stored rows GW, the targets and the vector of features; rows that lack a feature are left out."""
+    rows = df.select("GW", *[F.col(t).cast("double").alias(f"y_{t}") for t in targets], *[F.col(f).cast("double").alias(f"x_{f}") for f in features])
+    rows = feature_vector(rows.dropna(subset=["GW", *[f"x_{f}" for f in features]]), [f"x_{f}" for f in features])
+    return saved(rows.select("GW", *[F.col(f"y_{t}").alias(t) for t in targets], "features"), "matrix")
+
+
+def _fit_cell(matrix: DataFrame, name: str, make, target: str, cutoff: int, windows: list[int], counts: dict) -> list[Cell]:
+    """One fit on GW <= cutoff, scored once for all windows."""
+    n_train, tests = counts[target, cutoff], {w: counts[target, cutoff, w] for w in windows}
+    if not n_train or not any(tests.values()):
+        return []
+    try:
+        rows = matrix.where(F.col(target).isNotNull()).select("GW", "features", F.col(target).alias("label"))
+        model = make().fit(rows.where(F.col("GW") <= cutoff))
+        scored = model.transform(rows.where((F.col("GW") > cutoff) & (F.col("GW") <= cutoff + max(windows)))).select("GW", "label", "prediction")
+        grid = F.explode(F.array(*map(F.lit, windows))).alias("window")
+        found = error_metrics(scored.select("*", grid).where(F.col("GW") <= F.col("window") + cutoff), "label", "prediction", ("window",)).collect()
+        return [Cell(name, target, cutoff, r["window"], r["mae"], r["rmse"], r["r2"], n_train, r["n"], None) for r in found]
+    except Exception as e:  # a row of the result, not swallowed
+        return [Cell(name, target, cutoff, w, None, None, None, n_train, n, f"{type(e).__name__}: {e}"[:200]) for w, n in tests.items() if n]
+
+
+def run_grid(matrix: DataFrame, models: dict, targets: list[str], cutoffs: list[int], windows: list[int], side_by_side: int = 4) -> DataFrame:
+    """Rolling-origin back-test of MLlib estimators: metrics of each model, target, cutoff and window, failures as rows with ``error``.
+
+    ``matrix`` is stored once (``feature_matrix``); rows are counted for the whole grid in one scan. Fits run side by side, each
+    distributed and in a pool of its own, so that the fair scheduler (``spark.scheduler.mode``) lets them share the
+    cluster. Cells without train or test rows are left out.
+    """
+    spark = matrix.sparkSession
+    train = [((t, c), F.count_if((F.col("GW") <= c) & F.col(t).isNotNull())) for t in targets for c in cutoffs]
+    test = [((t, c, w), F.count_if((F.col("GW") > c) & (F.col("GW") <= c + w) & F.col(t).isNotNull())) for t in targets for c in cutoffs for w in windows]
+    found = matrix.agg(*[x.alias(str(i)) for i, (_, x) in enumerate(train + test)]).first()
+    counts = {k: found[i] for i, (k, _) in enumerate(train + test)}
+    jobs = list(product(models.items(), targets, cutoffs))
+
+    def work(job):
+        (name, make), target, cutoff = job
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{name}-{target}-{cutoff}")
+        return _fit_cell(matrix, name, make, target, cutoff, windows, counts)
+
+    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
+        cells = [c for out in pool.map(inheritable_thread_target(spark)(work), jobs) for c in out]
+    return spark.createDataFrame(cells, CELLS)
 
 
 def model_grid(df: DataFrame, models: dict, targets: list[str], cutoffs: list[int], windows: list[int], features: list[str]) -> tuple[DataFrame | None, list]:
-    """(results of all cells, failures); each fit is distributed, a failing cell is reported and the others go on."""
-    out, failed = None, []
-    for (name, make), target, c, w in product(models.items(), targets, cutoffs, windows):
-        try:
-            cell = backtest_model(df, c, w, make(), target, [f for f in features if f != target])
-        except Exception as e:  # reported, not swallowed
-            failed.append((name, target, c, w, str(e)[:200]))
-            continue
-        if cell is not None:
-            cell = cell.withColumn("model", F.lit(name))
-            out = cell if out is None else out.unionByName(cell)
-    return out, failed
+    """``run_grid`` over a panel: (results of the cells that worked or None, failures (model, target, cutoff, window, why))."""
+    cells = run_grid(feature_matrix(df, targets, features), models, targets, cutoffs, windows)
+    failed = [(r["model"], r["target"], r["cutoff"], r["window"], r["error"]) for r in cells.where("error IS NOT NULL").collect()]
+    good = cells.where("error IS NULL").drop("error")
+    return (None if good.isEmpty() else good), failed

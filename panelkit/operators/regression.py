@@ -10,20 +10,75 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators.models import error_metrics
 
 
+#: Tasks' sums are merged in so many groups first, then by cell.
+MERGERS = 64
+
+
+def _merged(n: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number, means and covariances of the union of parts, each given by its own."""
+    total = n.sum()
+    m = (n[:, None] * mean).sum(axis=0) / total
+    d = mean - m
+    return int(total), m, ((n[:, None] * cov).sum(axis=0) + np.einsum("k,ki,kj->ij", n, d, d).ravel()) / total
+
+
 def cross_products(df: DataFrame, features: list[str], target: str, keys: tuple = ()) -> DataFrame:
-    """keys, n, means and covariances (row by row, target last) of the rows in which features and target are there."""
-    cols = [F.col(c).cast("double") for c in [*features, target]]
-    rows = df.select(*keys, *[c.alias(f"_x{i}") for i, c in enumerate(cols)]).dropna(subset=[f"_x{i}" for i in range(len(cols))])
-    pair = {(i, j): F.covar_pop(f"_x{i}", f"_x{j}") for i in range(len(cols)) for j in range(i, len(cols))}
-    return rows.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.array(*[F.avg(f"_x{i}") for i in range(len(cols))]).alias("means"),
-        F.array(*[pair[min(i, j), max(i, j)] for i in range(len(cols)) for j in range(len(cols))]).alias("cov")).where("n > 0")
+    """keys, n, means and covariances (row by row, target last) of the rows in which features and target are there.
+
+    Tasks sum their rows as matrices about their own means and send one row for each cell; parts are merged in two steps,
+    so precision does not suffer from means far from 0. Null keys are cells.
+    """
+    k, p = len(keys), len(features) + 1
+    cols = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate([*features, target])]
+    rows = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], *cols).dropna(subset=[f"_x{i}" for i in range(p)])
+    kinds = "".join(f"_k{i} {rows.schema[f'_k{i}'].dataType.simpleString()}, " for i in range(k))
+    schema = f"{kinds}_part int, n bigint, means array<double>, cov array<double>"
+    names = [*[f"_k{i}" for i in range(k)], "_part", "n", "means", "cov"]
+
+    def sums(batches):
+        parts: dict = {}
+        types = []
+        for b in batches:
+            types = [b.column(i).type for i in range(k)]
+            if not b.num_rows:
+                continue
+            x = np.stack([b.column(k + i).to_numpy(zero_copy_only=False) for i in range(p)], axis=1)
+            code = np.zeros(b.num_rows, np.int64)
+            for i in range(k):
+                d = b.column(i).dictionary_encode()
+                code = code * (len(d.dictionary) + 1) + d.indices.fill_null(len(d.dictionary)).to_numpy(zero_copy_only=False)
+            _, first, cell = np.unique(code, return_index=True, return_inverse=True)
+            for c, at in enumerate(first.tolist()):
+                key, part = tuple(b.column(i)[at].as_py() for i in range(k)), x[cell == c]
+                mean = part.mean(axis=0)
+                here = (np.array([len(part)]), mean[None], ((part - mean).T @ (part - mean) / len(part)).reshape(1, -1))
+                if key in parts:
+                    n, m, v = parts[key]
+                    here = (np.append(here[0], n), np.vstack([here[1], m]), np.vstack([here[2], v]))
+                parts[key] = _merged(*here)
+        if parts:
+            task = TaskContext.get().partitionId() % MERGERS
+            key = list(zip(*parts)) if k else []
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(key[i], types[i]) for i in range(k)], pa.array([task] * len(parts), pa.int32()), pa.array([v[0] for v in parts.values()], pa.int64()),
+                 pa.array([v[1].tolist() for v in parts.values()]), pa.array([v[2].tolist() for v in parts.values()])], names=names)
+
+    def merge(table):
+        wide = lambda c: np.array(table.column(c).to_pylist())
+        n, m, v = _merged(wide("n").astype(float), wide("means"), wide("cov"))
+        return pa.table([*[table.column(c)[:1] for c in names[:k + 1]], pa.array([n], pa.int64()), pa.array([m.tolist()]), pa.array([v.tolist()])], names=names)
+
+    cells = [f"_k{i}" for i in range(k)]
+    out = rows.mapInArrow(sums, schema).groupBy(*cells, "_part").applyInArrow(merge, schema).groupBy(*cells).applyInArrow(merge, schema)
+    return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keys)], "n", "means", "cov")
 
 
 def solve_cell(n: float, means: np.ndarray, cov: np.ndarray, alpha: float) -> tuple[float, np.ndarray]:

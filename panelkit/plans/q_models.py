@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import features, models, report
 from panelkit.plans.catalogue import query
-from panelkit.plans.views import panel, table
+from panelkit.plans.views import panel, table, wide_panel
+from panelkit.shared import saved
 
 
 def _hash(keys: str, seed: int) -> str:
@@ -76,32 +77,35 @@ def best_model(spark, sf):
     return report.best_model(_backtest(spark, sf), "target", "mae")
 
 
+_DIM = 64
+
+
 def _vectors(spark, sf):
     """Embeddings as feature columns, with a value that depends on them and a rare class."""
     e = table(spark, sf, "embeddings")
-    xs = [F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(8)]
+    xs = [F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(_DIM)]
     return e.select("vec_id", *xs, F.col("label").cast("double").alias("y"), (F.col("label") == 3).cast("double").alias("label"))
 
 
-_X = [f"x{i}" for i in range(8)]
+_X = [f"x{i}" for i in range(_DIM)]
 
 
 def _parts(spark, sf):
-    rows = models.feature_vector(_vectors(spark, sf), _X).withColumn("train", models.split(None, ["vec_id"]))
+    rows = models.feature_vector(_vectors(spark, sf), _X).withColumn("train", models.split(None, ["vec_id"])).drop(*_X)
     return rows.where("train"), rows.where("NOT train")
 
 
 @query("M4 M10 M11", "mae:num rmse:num r2:num n:int")
 def rf_reg(spark, sf):
     train, test = _parts(spark, sf)
-    model = models.forest_regressor(trees=40, depth=6, label="y").fit(train)
+    model = models.forest_regressor(trees=200, leaf=5, label="y").fit(train)
     return models.error_metrics(model.transform(test), "y", "prediction")
 
 
 @query("M5 M12", "brier:num n:int")
 def rf_cls(spark, sf):
     train, test = _parts(spark, sf)
-    model = models.forest_classifier(trees=40, depth=6).fit(models.balanced_weights(train))
+    model = models.forest_classifier(trees=400, leaf=20).fit(models.balanced_weights(train))
     scored = model.transform(test)
     return models.brier(scored.withColumn("p", models.positive_probability(scored)), "label", "p")
 
@@ -109,30 +113,29 @@ def rf_cls(spark, sf):
 @query("M6 I5", "vec_id:int prob:num")
 def platt(spark, sf):
     train, test = _parts(spark, sf)
-    model = models.forest_classifier(trees=20, depth=5).fit(models.balanced_weights(train))
-    scored = model.transform(test)
-    scored = scored.select("vec_id", "label", models.positive_probability(scored).alias("score"))
-    fitted = models.platt(scored, "score")
-    slope, shift = float(fitted.coefficients[0]), float(fitted.intercept)
-    p = 1 / (1 + F.exp(-(F.col("score") * slope + shift)))
+    model = models.forest_regressor(trees=500, leaf=30, features="all").fit(train)
+    scored = saved(model.transform(test).select("vec_id", "label", F.col("prediction").alias("score")), "scored")
+    p = models.platt(scored, "score").probability(F.col("score"))
     return scored.select("vec_id", F.bround(F.least(p, F.lit(0.5)), 2).alias("prob"))
 
 
 @query("M7", "mae:num rmse:num r2:num n:int")
 def gbt(spark, sf):
     train, test = _parts(spark, sf)
-    model = models.boosted_regressor(rounds=20, label="y").fit(train)
+    model = models.boosted_regressor(rounds=100, rate=0.1, depth=3, label="y").fit(train)
     return models.error_metrics(model.transform(test), "y", "prediction")
 
 
 @query("M9", "feature importance:num")
 def importance(spark, sf):
     train, _ = _parts(spark, sf)
-    return models.importance_table(models.forest_regressor(trees=30, depth=5, label="y").fit(train), _X, spark)
+    return models.importance_table(models.forest_regressor(trees=300, leaf=10, label="y").fit(train), _X, spark)
 
 
-@query("M13 M14", "model target cutoff:int window:int mae:num rmse:num n_train:int n_test:int")
+@query("M7 M13 M14", "model target cutoff:int window:int mae:num rmse:num r2:num n_train:int n_test:int error")
 def model_grid(spark, sf):
-    p = panel(spark, sf)
-    grid = {"forest": lambda: models.forest_regressor(trees=10, depth=4), "boosted": lambda: models.boosted_regressor(rounds=5)}
-    return models.model_grid(p, grid, ["goals_scored"], [15], [1, 2], ["minutes", "threat", "bps"])[0]
+    """Forest and boosting at the comparison's sizes beside the mean and linear models of ``backtest_mean`` and ``linear_backtest``."""
+    p = wide_panel(spark, sf)
+    names = models.feature_list(p, models.FEATURES["comparison"], {c: c for c in models.COMPARISON_OPTIONAL})
+    grid = {"forest": lambda: models.forest_regressor(trees=100, leaf=1, features="all"), "boosted": lambda: models.boosted_regressor(rounds=100, rate=0.1, depth=6)}
+    return models.run_grid(models.feature_matrix(p, ["goals_scored", "assists"], names), grid, ["goals_scored", "assists"], [10, 15, 20], [1, 2])
