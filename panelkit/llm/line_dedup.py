@@ -106,13 +106,17 @@ def recurring_lines(hits: DataFrame, templates: DataFrame, min_docs: int = MIN_D
 
     ``hits`` has the lines of ``templates`` once for each text and position. A text is a group of its own, unless lines
     that as they are (masked) stand in ``min_docs`` texts make up more than ``copy_share`` of its lines and of its
-    characters: then it is a near copy, and near copies are one group if the same such line is the rarest of each (the
-    first by md5 among equally rare ones). The rarest is the family's own where families share a common line.
+    characters: then it is a near copy, and near copies are one group if the same such line is the first of each by md5.
+    Only lines that about as many texts carry as the median of the text's such lines (half to twice as many) are asked,
+    so that neither a line that families share nor a variant that few members have stands for a family.
     """
     copies = hits.where(F.col("c") >= min_docs).groupBy("_key").agg(
-        F.count("*").alias("n"), F.sum("_len").alias("len"), F.max("_rows").alias("_rows"), F.max("_chars").alias("_chars"),
-        F.min(F.struct("c", "_o", "_h"))["_h"].alias("_family")).where(
-        (F.col("n") > F.col("_rows") * copy_share) & (F.col("len") > F.col("_chars") * copy_share)).select("_key", "_family")
+        F.sum("_len").alias("len"), F.max("_rows").alias("_rows"), F.max("_chars").alias("_chars"),
+        F.sort_array(F.collect_list(F.struct("c", "_o", "_h"))).alias("_l")).where(
+        (F.size("_l") > F.col("_rows") * copy_share) & (F.col("len") > F.col("_chars") * copy_share))
+    middle = F.get("_l", F.floor((F.size("_l") - 1) / 2).cast("int"))["c"]
+    near = F.filter("_l", lambda x: (x["c"] * 2 >= middle) & (x["c"] <= middle * 2))
+    copies = copies.select("_key", F.array_min(F.transform(near, lambda x: F.struct(x["_o"].alias("o"), x["_h"].alias("h"))))["h"].alias("_family"))
     groups = hits.select("_key", "_h").join(copies, "_key", "left").select(
         "_h", F.struct(F.col("_family").isNotNull().alias("near"), F.coalesce("_family", "_key").alias("id")).alias("_group")).distinct()
     counts = groups.join(templates.select("_h", "_t"), "_h").groupBy("_t", "_group").agg(F.lit(1).alias("x")).groupBy("_t").agg(

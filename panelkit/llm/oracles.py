@@ -72,10 +72,13 @@ tpl AS (
   GROUP BY tok.n, tok.lead, masked, c, s HAVING count(*) FILTER (WHERE coalesce(share, 0) >= s AND tok.t <> '<*>') >= tok.n * {_CONST}),
 cand AS (SELECT * FROM tpl WHERE template IN (SELECT template FROM tpl GROUP BY template HAVING sum(c) >= {_D})),
 hit AS (SELECT text, pos, chars, masked, c FROM ln JOIN (SELECT DISTINCT masked, c FROM cand) USING (masked)),
-copies AS (
-  SELECT text, arg_min(masked, (c, substr(md5(masked), 1, 16))) AS family FROM hit
+most AS (
+  SELECT text, list_sort(list(c))[(count(*) - 1) // 2 + 1] AS middle FROM hit
   JOIN (SELECT text, count(*) AS n_lines FROM raw WHERE line <> '' GROUP BY text) USING (text)
   WHERE c >= {_D} GROUP BY text, n_lines HAVING count(*) > n_lines * {_COPY} AND sum(chars) > length(text) * {_COPY}),
+copies AS (
+  SELECT text, arg_min(masked, substr(md5(masked), 1, 16)) AS family FROM hit JOIN most USING (text)
+  WHERE c >= {_D} AND c * 2 >= middle AND c <= middle * 2 GROUP BY text),
 grp AS (SELECT DISTINCT masked, family IS NOT NULL AS near, coalesce(family, text) AS id FROM hit LEFT JOIN copies USING (text)),
 rec AS (
   SELECT DISTINCT masked FROM cand WHERE template IN (

@@ -455,6 +455,21 @@ def test_query_drops_planted_lines_at_any_size(spark, tmp_path, n):
     assert right >= 0.9 * n and right == n
 
 
+def test_variants_do_not_part_a_large_family(spark):
+    """Many near copies, whose changed lines recur too: the family counts once and keeps its lines."""
+    r = random.Random(17)
+    body = [prose_line(r) for _ in range(12)]
+    variant = {(j, k): prose_line(r) for j in range(12) for k in range(4)}
+    rows = []
+    for i in range(3000):
+        t = body.copy()
+        for j in r.sample(range(12), 2):
+            t[j] = variant[j, r.randrange(4)]
+        rows.append((i, "\n".join(t)))
+    out = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert out.agg(F.sum("n_dropped")).first()[0] == 0
+
+
 def test_line_sql_on_hard_rows_and_families(spark, corpus, tmp_path):
     """The SQL states the rule by itself; families of near copies share a common line, which many families together carry."""
     r = random.Random(16)
