@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations, permutations
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,58 +117,29 @@ def useful_candidates(df: DataFrame, keys: tuple, quota: dict = SQUAD_QUOTA, clu
     return df.withColumn("_r", r).where(F.col("_r") <= top).where(F.col("_r") <= need).drop("_r")
 
 
-def _cheapest_flow(slots: list[tuple], players: list[tuple], club_cap: int) -> dict | None:
-    """slot -> players that fill all slots at the least total cost with at most ``club_cap`` of a team, or None if none do.
+def fillable(df: DataFrame, keys: tuple, quota: dict = SQUAD_QUOTA, club_cap: int = CLUB_CAP) -> DataFrame:
+    """keys, ok: whether any squad keeps quotas and club cap, whatever its price.
 
-    ``slots`` are (role, whether starters, number); ``players`` (role, team, cost as a starter, cost on the bench), whole
-    numbers. Each step adds one pick along the cheapest path, which swaps earlier picks where a club is full.
+    One exists if and only if for every set of roles the clubs, each giving at most ``club_cap`` of the set's players, can
+    fill the set's quotas together (the cuts of the flow from roles to clubs).
     """
-    teams = {t: i for i, t in enumerate(dict.fromkeys(p[1] for p in players))}
-    n_s, n_p = len(slots), len(players)
-    source, sink = 0, 1 + n_s + n_p + len(teams)
-    head, room, cost, out = [], [], [], [[] for _ in range(sink + 1)]
-
-    def edge(a, b, r, c):
-        for x, y, q, z in ((a, b, r, c), (b, a, 0, -c)):
-            out[x].append(len(head))
-            head.append(y)
-            room.append(q)
-            cost.append(z)
-
-    for i, (role, first, n) in enumerate(slots):
-        edge(source, 1 + i, n, 0)
-        for j, p in enumerate(players):
-            if p[0] == role:
-                edge(1 + i, 1 + n_s + j, 1, p[2] if first else p[3])
-    for j, p in enumerate(players):
-        edge(1 + n_s + j, 1 + n_s + n_p + teams[p[1]], 1, 0)
-    for i in teams.values():
-        edge(1 + n_s + n_p + i, sink, club_cap, 0)
-    for _ in range(sum(n for _, _, n in slots)):
-        dist, by, queue = {source: 0}, {}, [source]
-        while queue:  # Bellman-Ford over the nodes whose distance fell
-            fell = []
-            for x in queue:
-                for e in out[x]:
-                    if room[e] and dist[x] + cost[e] < dist.get(head[e], float("inf")):
-                        dist[head[e]] = dist[x] + cost[e]
-                        by[head[e]] = e
-                        fell.append(head[e])
-            queue = list(dict.fromkeys(fell))
-        if sink not in dist:
-            return None
-        x = sink
-        while x != source:
-            room[by[x]] -= 1
-            room[by[x] ^ 1] += 1
-            x = head[by[x] ^ 1]
-    return {i: [head[e] - 1 - n_s for e in out[1 + i] if e % 2 == 0 and not room[e]] for i in range(n_s)}
+    n = df.groupBy(*keys, "team").agg(*[F.count_if(F.col("position") == r).alias(f"_n_{r}") for r in quota])
+    sets = [c for k in range(1, len(quota) + 1) for c in combinations(quota, k)]
+    room = n.groupBy(*keys).agg(*[F.sum(F.least(sum((F.col(f"_n_{r}") for r in c), F.lit(0)), F.lit(club_cap))).alias(f"_s{i}") for i, c in enumerate(sets)])
+    ok = F.lit(True)
+    for i, c in enumerate(sets):
+        ok = ok & (F.col(f"_s{i}") >= sum(quota[r] for r in c))
+    return room.select(*keys, ok.alias("ok"))
 
 
 def priced_squads(df: DataFrame, keys: tuple, multipliers: tuple, quota: dict = SQUAD_QUOTA, club_cap: int = CLUB_CAP,
                   points: str = "ExpPts") -> DataFrame:
-    """For each scenario, price multiplier and formation the squad with the best starters by points less price times
-    multiplier and the cheapest bench, under quotas and club cap; multiplier infinity is the cheapest squad of all."""
+    """Squads for each scenario, price multiplier, formation and order of the roles: starters by points less price times
+    multiplier, then the cheapest bench, under quotas and club cap; multiplier infinity goes by price alone.
+
+    The roles are filled one after the other, each with its best players whose club has room. ``formation`` numbers the
+    (formation, order); squads that cannot be completed in their order are left out.
+    """
     inf = float("inf")
     rows = df.select(*keys, "name", "team", "position", "price", points).dropna(subset=["price", points])
     rows = rows.withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in multipliers])))
@@ -184,43 +157,47 @@ def priced_squads(df: DataFrame, keys: tuple, multipliers: tuple, quota: dict =
             if not part:
                 rows = rows.withColumn(c, F.col(c) & F.col(f"{c}_in"))
         rows = rows.where("_a OR _b").withColumnsRenamed({"_a": "_a_in", "_b": "_b_in"})
-    rows = rows.select(*names, "score")
-
-    def solve(table):
-        import pyarrow as pa
-
-        col = {c: table.column(c).to_pylist() for c in ("position", "team", "price", "score")}
-        lam = table.column("lam")[0].as_py()
-        whole = lambda x: round(float(x) * 1e6)
-        # on the bench a player costs the price at the multiplier; without one, the cheapest still go first
-        players = [(r, t, -whole(v), whole(p) if lam == inf else whole(lam * float(p)) or round(float(p) * 10))
-                   for r, t, p, v in zip(col["position"], col["team"], col["price"], col["score"])]
-        at, formation = [], []
-        for i, f in enumerate(FORMATIONS):
-            first = dict(zip(("GK", "DEF", "MID", "FWD"), (1, *f)))
-            if any(quota.get(r, 0) < n for r, n in first.items()):
-                continue
-            slots = [(r, s, n) for r, q in quota.items() for s, n in ((True, first.get(r, 0)), (False, q - first.get(r, 0))) if n]
-            found = _cheapest_flow(slots, players, club_cap)
-            for picks in (found or {}).values():
-                at += picks
-                formation += [i] * len(picks)
-            if lam == inf:  # the same squad for every formation
-                break
-        return table.select(names).take(pa.array(at, pa.int64())).append_column("formation", pa.array(formation, pa.int32()))
-
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*names).schema]
-    return rows.groupBy(*keys, "lam").applyInArrow(solve, ", ".join([*kinds, "formation int"]))
+    player = F.struct("name", "team", "position", "price", F.col(points).alias("points"))
+    lists = rows.groupBy(*keys, "lam").agg(  # at most four times the squad's size of each role
+        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("o"), F.col("price").alias("o2"), player.alias("p")))).alias("_best"),
+        F.sort_array(F.collect_list(F.struct(F.col("price").alias("o"), (-F.col(points)).alias("o2"), player.alias("p")))).alias("_cheap"))
+    steps, names_ = [], tuple(quota)
+    for i, f in enumerate(FORMATIONS):
+        first = dict(zip(("GK", "DEF", "MID", "FWD"), (1, *f)))
+        if all(quota.get(r, 0) >= n for r, n in first.items()):
+            for j, order in enumerate(permutations(names_)):
+                slots = [(r, s, n) for s in (True, False) for r in order if (n := first.get(r, 0) if s else quota[r] - first.get(r, 0))]
+                steps.append(F.struct(F.lit(100 * i + j).alias("formation"), F.array(*[F.struct(F.lit(r).alias("r"), F.lit(s).alias("first"), F.lit(n).alias("n")) for r, s, n in slots]).alias("slots")))
+    tried = lists.withColumn("_v", F.explode(F.array(*steps))).select("*", "_v.formation", "_v.slots").drop("_v")
+    none = F.slice(F.transform("_best", lambda x: x["p"]), 1, 0)
+
+    def take(state, x):
+        p = x["p"]
+        same = lambda q: q["team"].eqNullSafe(p["team"])
+        fits = (state["left"] > 0) & (F.size(F.filter(state["picks"], same)) < club_cap) & ~F.exists(
+            state["picks"], lambda q: same(q) & q["name"].eqNullSafe(p["name"]) & (q["position"] == p["position"]) & (q["price"] == p["price"]))
+        return F.when(fits, F.struct(F.concat(state["picks"], F.array(p)).alias("picks"), (state["left"] - 1).alias("left"))).otherwise(state)
+
+    def fill(picks, slot):
+        of = lambda c: F.filter(c, lambda x: x["p"]["position"] == slot["r"])
+        from_ = F.when(slot["first"], of("_best")).otherwise(of("_cheap"))
+        return F.aggregate(from_, F.struct(picks.alias("picks"), slot["n"].alias("left")), take)["picks"]
+
+    squads = tried.select(*keys, "lam", "formation", F.aggregate("slots", none, fill).alias("_p")).where(F.size("_p") == total)
+    return squads.select(*keys, F.explode("_p").alias("p"), "lam", "formation").select(
+        *keys, "p.name", "p.team", "p.position", "p.price", F.col("p.points").alias(points), "lam", "formation").select(*names, "formation")
 
 
 def squad_search(df: DataFrame, keys: tuple, multipliers=(0.0, 0.1, 0.2, 0.4, 0.8), budget: float = BUDGET, quota: dict = SQUAD_QUOTA,
                  club_cap: int = CLUB_CAP, points: str = "ExpPts") -> DataFrame:
     """One row for each scenario (``keys``): status, value and bound of the eleven's points, gap, and the chosen squad.
 
-    A heuristic: for each price multiplier and legal formation the squad with the best starters by points less price
-    times multiplier and the cheapest bench, under quotas and club cap (``priced_squads``); its eleven is then chosen
-    exactly, and the best squad within the budget kept. The quotas filled by priced points from each club's best, and
-    the cheapest squad of all, are tried too, so a scenario has a squad if any is legal: status "none", with null value, says that there is none. The
+    A heuristic: for each price multiplier, legal formation and order of the roles the squad with the best starters by
+    points less price times multiplier and the cheapest bench, filled role by role under quotas and club cap
+    (``priced_squads``); its eleven is then chosen exactly, and the best squad within the budget kept. The quotas filled by
+    priced points from each club's best, and the squads that go by price alone, are tried too. Status "none", with null
+    value, says that no squad is legal: no squad keeps quotas and club cap (``fillable``), or even the cheapest players of each
+    role cost more than the budget. Status "not found" says that none was found. The
     bound drops the club cap and lets the bench be chosen apart: for each multiplier the best starters' points less
     their priced cost, less the priced cost of the cheapest bench, plus the priced budget; the least over the
     multipliers.
@@ -250,6 +227,14 @@ def squad_search(df: DataFrame, keys: tuple, multipliers=(0.0, 0.1, 0.2, 0.4, 0.
     bounds = [sum((part("g", "gain", r, n) - F.col("lam") * part("c", "price", r, quota[r] - n) for r, n in zip(("GK", "DEF", "MID", "FWD"), (1, *f))), F.lit(0.0))
               for f in FORMATIONS]
     bound = maps.select(*keys, (F.greatest(*bounds) + F.col("lam") * budget).alias("v")).groupBy(*keys).agg(F.round(F.min("v"), 6).alias("bound"))
-    out = df.select(*keys).distinct().join(best, list(keys), "left").join(bound, list(keys), "left")
-    return out.select(*keys, F.when(F.col("b").isNull(), "none").otherwise("feasible").alias("status"), F.col("b.value").alias("value"),
+    cheapest = Window.partitionBy(*keys, "position").orderBy("price", "name", "team")
+    least = pool.withColumn("_r", F.row_number().over(cheapest)).where(F.col("_r") <= max(quota.values())).where(F.col("_r") <= _quota(F.col("position"), quota))
+    least = least.groupBy(*keys).agg(F.sum("price").alias("_least"))
+    can = fillable(df.dropna(subset=["price", points]), keys, quota, club_cap)
+    out = df.select(*keys).distinct()
+    for part in (best, bound, least, can):
+        out = out.join(part, list(keys), "left")
+    legal = F.coalesce(F.col("ok"), F.lit(False)) & F.coalesce(F.col("_least") <= budget + 1e-9, F.lit(False))
+    status = F.when(F.col("b").isNotNull(), "feasible").when(legal, "not found").otherwise("none")
+    return out.select(*keys, status.alias("status"), F.col("b.value").alias("value"),
                       "bound", F.round(F.col("bound") - F.col("b.value"), 6).alias("gap"), F.col("b.cost").alias("cost"), F.col("b.lam").alias("lam"), F.col("b.squad").alias("squad"))

@@ -177,10 +177,46 @@ def test_search_finds_a_squad_where_one_is_legal(spark):
         assert len(teams) == 15 and max(map(teams.count, teams)) <= 3 and got[s]["value"] <= got[s]["bound"] + 1e-6
 
 
-def test_flow_swaps_earlier_picks():
-    players = [("GK", "A", 5, 5), ("DEF", "A", 1, 1), ("DEF", "B", 3, 3)]
-    got = select._cheapest_flow([("DEF", True, 1), ("GK", True, 1)], players, 1)
-    assert got == {0: [2], 1: [0]} and select._cheapest_flow([("GK", True, 2)], players, 1) is None
+def test_fillable_equals_a_search(spark):
+    import random
+
+    rnd, quota = random.Random(8), {"GK": 1, "DEF": 2, "MID": 2}
+
+    def possible(players, cap):
+        for pick in itertools.product(*[itertools.combinations([p for p in players if p[1] == r], n) for r, n in quota.items()]):
+            teams = [t for part in pick for t, _ in part]
+            if all(teams.count(t) <= cap for t in set(teams)):
+                return True
+        return False
+
+    pools = {i: [(rnd.choice("ABC"), rnd.choice(list(quota))) for _ in range(rnd.randint(3, 9))] for i in range(60)}
+    df = spark.createDataFrame([(i, t, r) for i, rows in pools.items() for t, r in rows], "s int, team string, position string")
+    for cap in (2, 3):
+        got = {r["s"]: r["ok"] for r in select.fillable(df, ("s",), quota, cap).collect()}
+        assert got == {i: possible(rows, cap) for i, rows in pools.items()} and len(set(got.values())) == 2
+
+
+def test_search_over_random_pools(spark):
+    import random
+
+    rnd = random.Random(9)
+    rows = []
+    for s in range(12):
+        teams = "ABCDEFGH"[:rnd.randint(4, 8)]
+        for i in range(rnd.randint(14, 60)):
+            rows.append((s, f"p{i}", rnd.choice(teams), rnd.choices(["GK", "DEF", "MID", "FWD"], [2, 5, 5, 3])[0], float(rnd.choice([4, 5, 6, 8, 10])), float(rnd.randint(0, 40)) / 4))
+    pool = spark.createDataFrame(rows, "s int, name string, team string, position string, price double, ExpPts double")
+    found = select.squad_search(pool, ("s",)).collect()
+    ok = {r["s"]: r["ok"] for r in select.fillable(pool, ("s",)).collect()}
+    for r in found:
+        assert r["status"] in ("feasible", "none", "not found") and (r["status"] != "feasible" or ok[r["s"]])
+        if r["status"] == "feasible":
+            squad = [(x["name"], x["team"]) for x in r["squad"]]
+            roles = [x["position"] for x in r["squad"]]
+            teams = [t for _, t in squad]
+            assert len(set(squad)) == 15 and {p: roles.count(p) for p in select.SQUAD_QUOTA} == select.SQUAD_QUOTA
+            assert max(map(teams.count, teams)) <= 3 and r["cost"] <= 100 and r["value"] <= r["bound"] + 1e-6
+    assert {r["status"] for r in found} >= {"feasible", "none"} and sum(r["status"] == "not found" for r in found) <= 1
 
 
 def test_ragged_lines(spark):
