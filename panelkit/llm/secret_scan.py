@@ -160,7 +160,8 @@ def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """Index rows (trigram, key): which texts (by hash) hold which of the trigrams, letters in either case."""
     rows = docs.where(F.col("text").isNotNull()).select(F.lower("text").alias("_low"), F.xxhash64("text").alias("_key"))
     held = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(t)), F.lit(t)) for t in trigrams]))
-    return rows.select("_key", held.alias("_held")).select(F.explode("_held").alias("trigram"), "_key")
+    # an outer generator, as Spark puts a filter on the array's size, and with it a second search, below an inner one
+    return rows.select("_key", held.alias("_held")).select(F.explode_outer("_held").alias("trigram"), "_key").where(F.col("trigram").isNotNull())
 
 
 def _found(kind: str, head: str, value: str, least: int) -> Column:
