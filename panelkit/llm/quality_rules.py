@@ -53,12 +53,12 @@ def measure(docs: DataFrame) -> DataFrame:
         F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))),
         lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")),
     )
-    out = out.withColumn("_s", F.array_sort(windows))
+    out = out.withColumn("_s", F.sort_array(windows))
     s = F.col("_s")
     again = F.filter(
         s, lambda x, k: F.coalesce((k > 0) & (F.get(s, k - 1)["h"] == x["h"]), F.lit(False))
         | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False)))
-    out = out.withColumn("_p", F.array_sort(F.transform(again, lambda x: x["i"])))
+    out = out.withColumn("_p", F.sort_array(F.transform(again, lambda x: x["i"])))
     # each repeated window covers three words, less what the one before it covers
     covered = F.aggregate(
         F.col("_p"), F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).alias("last")),
@@ -87,8 +87,8 @@ def measure(docs: DataFrame) -> DataFrame:
         ratio("n_dup_lines", "n_lines").alias("dup_line_share"),
     )
     # a generator ends the projection: a filter on a measure would otherwise be pushed below it and written out in
-    # full at every level, which the optimizer does not finish
-    return out.select(F.inline_outer(F.array(F.struct("row", q.alias("_q")))))
+    # full at every level, which the optimizer does not finish; the row passes it by
+    return out.select("row", F.explode(F.array(q)).alias("_q"))
 
 
 def failed_rules(q: Column, rules=RULES) -> Column:
