@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
-from panelkit.operators import clean, features, merge, report
+from panelkit.operators import clean, merge, report
 from panelkit.plans.catalogue import query
 from panelkit.plans.q_features import _BLEND, blended_predictions
 from panelkit.plans.views import fixtures, panel, table
@@ -31,10 +31,11 @@ def metric_tables(spark, sf):
 
 
 def roles(spark, sf):
-    p = panel(spark, sf)
-    out = features.entity_profile(p, cols=["minutes"]).join(features.first_role(p), ["name", "team"])
-    last = features.latest_attributes(p, ["value_tenths"], ("name", "team")).select("name", "team", (F.col("value_tenths") / 10.0).alias("price"))
-    return out.join(last, ["name", "team"])
+    """First role, mean minutes and latest price of each entity, in one aggregate."""
+    order, role, tenths = F.struct("GW", "seq"), F.col("position"), F.col("value_tenths")
+    return panel(spark, sf).groupBy("name", "team").agg(
+        F.avg("minutes").alias("minutes"), F.min_by(role, F.when(role.isNotNull(), order)).alias("position"),
+        (F.max_by(tenths, F.when(tenths.isNotNull(), order)) / 10.0).alias("price"))
 
 
 def total_points(spark, sf):
