@@ -41,13 +41,13 @@ def read_words(text) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def word_slices(text, start: np.ndarray, end: np.ndarray) -> list[bytes]:
-    """Words start..end of a text, joined by one space."""
+def word_slices(text):
+    """A function (starts, ends) -> words start..end of the text, joined by one space."""
     words = bytes(text).split()
     flat = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(size + 1) - 1
-    return [flat[a:b] for a, b in zip((ends - size)[start].tolist(), ends[end - 1].tolist())]
+    return lambda start, end: [flat[a:b] for a, b in zip((ends - size)[start].tolist(), ends[end - 1].tolist())]
 
 
 class FMIndex:
@@ -156,6 +156,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRA
     (bigint), n_words, n_removed, kept_sha256. Rows with one doc_id and one text count as one text and come back alike;
     rows with one doc_id and different texts are ordered by the hash of their text. Null texts have no words, texts
     shorter than the window keep all; an empty table gives an empty result; columns besides doc_id and text are ignored.
+    A text of any length is held by one task; in a text of short period, equal neighbouring segments travel as one.
     """
     texts = sw.keyed(docs)
     found = sw.repeated_segments(texts, read_words, word_slices, window, gram)
@@ -180,8 +181,14 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW_WORDS, gram: int = GRA
         (F.col("n") > 1) | F.col("gone").isNotNull()).select("gram", "digest", "first", "gone"), "verdict")
     discard(distinct)
     is_first = F.struct("doc_id", "key", "at").eqNullSafe(F.col("first"))
-    hits = found.select("doc_id", "key", "at", "gram", "digest").join(verdict, ["gram", "digest"]).where(
-        ~is_first | F.col("gone").isNotNull()).select("doc_id", "key", "at", F.when(is_first, F.col("gone")).alias("gone"))
+    hits = found.select("doc_id", "key", "at", "reps", "gram", "digest").join(verdict, ["gram", "digest"])
+    # of equal segments that follow one another only the first can be the first in the corpus; the others go whole
+    whole = F.lit(None).cast("array<int>")
+    part = lambda at, reps, gone: F.struct(at.alias("at"), reps.cast("int").alias("reps"), gone.alias("gone"))
+    one, rest = F.lit(1), part(F.col("at") + F.shiftleft(F.shiftright("at", 10).bitwiseAND(1023), 20), F.col("reps") - 1, whole)
+    pieces = F.when(is_first, F.array_compact(F.array(F.when(F.col("gone").isNotNull(), part(F.col("at"), one, F.col("gone"))), F.when(F.col("reps") > 1, rest)))).otherwise(
+        F.array(part(F.col("at"), F.col("reps"), whole)))
+    hits = hits.select("doc_id", "key", F.explode(pieces).alias("x")).select("doc_id", "key", "x.at", "x.reps", "x.gone")
     return sw.finished(texts, hits, cut_words(window), {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"})
 
 

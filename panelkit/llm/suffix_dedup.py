@@ -30,9 +30,9 @@ def read_bytes(text) -> np.ndarray:
     return np.frombuffer(text, np.uint8)
 
 
-def byte_slices(text, start: np.ndarray, end: np.ndarray) -> list[bytes]:
+def byte_slices(text):
     text = bytes(text)
-    return [text[a:b] for a, b in zip(start.tolist(), end.tolist())]
+    return lambda start, end: [text[a:b] for a, b in zip(start.tolist(), end.tolist())]
 
 
 def _range_minima(prefix: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -122,7 +122,8 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_B
     Returns per row: doc_id (bigint), n_bytes, n_removed, n_spans, kept_sha256. Every row is a text of its own, so a
     repeated row or a copy under another id loses all bytes that its windows cover; texts are judged on the input and
     matches never cross rows. Null texts count as empty, texts shorter than the window keep all bytes. A null doc_id
-    is an id like others; an empty table gives an empty result; columns besides doc_id and text are ignored.
+    is an id like others; an empty table gives an empty result; columns besides doc_id and text are ignored. A text of any
+    length is held by one task; in a text of short period, equal neighbouring segments travel as one.
     """
     texts = sw.keyed(docs)
     found = sw.repeated_segments(texts, read_bytes, byte_slices, window, gram)
@@ -142,7 +143,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM_B
     verdict = saved(distinct.select("gram", "digest", "n").join(flags, ["gram", "digest"], "left").where(
         (F.col("n") > 1) | F.col("gone").isNotNull()).select("gram", "digest", F.when(F.col("n") == 1, F.col("gone")).alias("gone")), "verdict")
     discard(distinct)
-    hits = found.select("doc_id", "key", "at", "gram", "digest").join(verdict, ["gram", "digest"])
+    hits = found.select("doc_id", "key", "at", "reps", "gram", "digest").join(verdict, ["gram", "digest"])
     return sw.finished(texts, hits, cut_bytes(window), {
         "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"})
 

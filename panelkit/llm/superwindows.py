@@ -17,6 +17,7 @@ from panelkit.shared import discard, saved
 
 CHUNK = 1 << 19          # windows that are cut at a time; positions inside a chunk take 20 bits
 _LOW = np.uint64((1 << 20) - 1)
+PIECE = 1 << 14          # segments that are cut out of a text at a time
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -34,10 +35,22 @@ def gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
     return _mixed(h)
 
 
-def segments(symbols: np.ndarray, window: int, gram: int):
-    """(start, count, shift, anchor hash) arrays: runs of ``count`` windows from ``start`` on with the anchor ``shift`` symbols after the start."""
+def _repeats(symbols: np.ndarray, start, count, shift, anchor, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first of each run of neighbouring equal segments, length of the run): in a text of short period they follow one another."""
+    same = (count[1:] == count[:-1]) & (shift[1:] == shift[:-1]) & (anchor[1:] == anchor[:-1])
+    pairs = np.flatnonzero(same)
+    for c in np.unique(count[pairs]).tolist():  # the next segment starts ``c`` symbols on
+        differs = np.concatenate([[0], np.cumsum(symbols[c:] != symbols[:-c])])
+        at = pairs[count[pairs] == c]
+        same[at] = differs[start[at] + c + window - 1] == differs[start[at]]
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    return first, np.diff(np.append(first, len(start)))
+
+
+def segment_runs(symbols: np.ndarray, window: int, gram: int):
+    """(start, count, shift, anchor hash, repeats) arrays of each chunk: runs of ``count`` windows from ``start`` on with the
+    anchor ``shift`` symbols after the start; ``repeats`` equal segments, each ``count`` symbols after the one before, are one."""
     span, n = window - gram + 1, len(symbols) - window + 1
-    found: list[tuple[np.ndarray, ...]] = []
     for base in range(0, max(n, 0), CHUNK):
         m = min(CHUNK, n - base)
         g = gram_hashes(symbols[base:base + m + window - 1], gram)
@@ -49,10 +62,14 @@ def segments(symbols: np.ndarray, window: int, gram: int):
             low = np.minimum(low[:size - span], low[span - size:])
         start = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
         at = (low[start] & _LOW).astype(np.int64)
-        found.append((start + base, np.diff(np.append(start, m)), at - start, g[at].view(np.int64)))
-    if not found:
-        return tuple(np.empty(0, np.int64) for _ in range(4))
-    return tuple(np.concatenate(x) for x in zip(*found))
+        count, shift, anchor = np.diff(np.append(start, m)), at - start, g[at].view(np.int64)
+        first, repeats = _repeats(symbols[base:base + m + window - 1], start, count, shift, anchor, window)
+        yield start[first] + base, count[first], shift[first], anchor[first], repeats
+
+
+def segments(symbols: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """The arrays of ``segment_runs`` over all chunks."""
+    return tuple(np.concatenate(x) for x in zip(*[(np.empty(0, np.int64),) * 5, *segment_runs(symbols, window, gram)]))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -104,9 +121,9 @@ def shift_of(at):
 def repeated_segments(docs: DataFrame, read, slices, window: int, gram: int) -> DataFrame:
     """Stored table of all segments whose anchor occurs more than once.
 
-    ``docs`` is ``keyed``; ``read(text)`` makes an array of symbols, ``slices(text, starts, ends)`` the bytes of
-    symbol ranges. Columns: doc_id, key, at (packed place), gram (anchor hash), digest (64-bit hash of the bytes; read
-    together with gram) and seg (the bytes).
+    ``docs`` is ``keyed``; ``read(text)`` makes an array of symbols, ``slices(text)`` a function (starts, ends) -> the bytes
+    of symbol ranges. Columns: doc_id, key, at (packed place), reps (how many equal segments follow one another from there
+    on), gram (anchor hash), digest (64-bit hash of the bytes; read together with gram) and seg (the bytes).
     """
     if not 0 < gram <= window < 1024:
         raise ValueError("windows must have fewer than 1024 symbols and hold a gram")
@@ -115,50 +132,54 @@ def repeated_segments(docs: DataFrame, read, slices, window: int, gram: int) ->
         for b in batches:
             row, parts = [], []
             for i, t in enumerate(texts_of(b.column("text"))):
-                start, count, shift, g = segments(read(t), window, gram)
-                if len(start):
+                for start, count, shift, g, reps in segment_runs(read(t), window, gram):
                     row.append(np.full(len(start), i, np.int32))
-                    parts.append((_packed(start, count, shift), g))
-            if parts:
-                row = pa.array(np.concatenate(row))
-                at, g = (np.concatenate(x) for x in zip(*parts))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(row), b.column("key").take(row), pa.array(at), pa.array(g)], names=["doc_id", "key", "at", "gram"])
+                    parts.append((_packed(start, count, shift), g, reps))
+                if parts and (i + 1 == b.num_rows or sum(map(len, row)) > 1 << 18):
+                    rows = pa.array(np.concatenate(row))
+                    at, g, reps = (np.concatenate(x) for x in zip(*parts))
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id").take(rows), b.column("key").take(rows), pa.array(at), pa.array(g), pa.array(reps.astype(np.int32))],
+                        names=["doc_id", "key", "at", "gram", "reps"])
+                    row, parts = [], []
 
-    anchors = saved(docs.mapInArrow(cut, "doc_id bigint, key bigint, at bigint, gram bigint"), "anchors")
+    anchors = saved(docs.mapInArrow(cut, "doc_id bigint, key bigint, at bigint, gram bigint, reps int"), "anchors")
     # stored, so that the join below sees two plain tables and can split a gram that very many segments have
-    again = saved(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
+    again = saved(anchors.groupBy("gram").agg(F.sum("reps").alias("n")).where("n > 1").select("gram"), "grams")
     wanted = saved(anchors.join(again, "gram").groupBy("doc_id", "key").agg(
-        F.collect_set(F.struct("at", "gram")).alias("want")).toDF("w_id", "w_key", "want"), "wanted")
+        F.collect_set(F.struct("at", "gram", "reps")).alias("want")).toDF("w_id", "w_key", "want"), "wanted")
     discard(anchors)
     discard(again)
 
     def fetch(batches):
         import xxhash
 
-        names = ["doc_id", "key", "at", "gram", "digest", "seg"]
+        names = ["doc_id", "key", "at", "reps", "gram", "digest", "seg"]
         for b in batches:
             want = b.column("want")
             rows, offsets = want.flatten(), (want.offsets.to_numpy() - want.offsets[0].as_py()).tolist()
             at = rows.field("at").to_numpy()
             begin = start_of(at)
             end = begin + count_of(at) + window - 1
+            owner = np.repeat(np.arange(b.num_rows, dtype=np.int32), np.diff(offsets))
             held, weight, first = [], 0, 0
-            texts = texts_of(b.column("text"))
-            for i, t in enumerate(texts):  # segments take several times the text's room, so batches go by bytes
-                held += slices(t, begin[offsets[i]:offsets[i + 1]], end[offsets[i]:offsets[i + 1]])
-                weight += len(t) * 4
-                if weight > 1 << 23 or i + 1 == len(texts):
-                    a, z = offsets[first], offsets[i + 1]
-                    row = pa.array(np.repeat(np.arange(first, i + 1, dtype=np.int32), np.diff(offsets[first:i + 2])))
-                    digest = np.fromiter(map(xxhash.xxh3_64_intdigest, held), np.uint64, len(held)).view(np.int64)
-                    part = rows.slice(a, z - a)
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("doc_id").take(row), b.column("key").take(row), part.field("at"), part.field("gram"), pa.array(digest), pa.array(held, pa.binary())], names=names)
-                    held, weight, first = [], 0, i + 1
+            for i, t in enumerate(texts_of(b.column("text"))):
+                cut_out = slices(t)
+                # segments take several times the text's room, so batches go by bytes, within a text as well
+                for a in range(offsets[i], offsets[i + 1], PIECE):
+                    z = min(a + PIECE, offsets[i + 1])
+                    held += (more := cut_out(begin[a:z], end[a:z]))
+                    weight += sum(map(len, more))
+                    if weight > 1 << 23 or z == len(at):
+                        row, part = pa.array(owner[first:z]), rows.slice(first, z - first)
+                        digest = np.fromiter(map(xxhash.xxh3_64_intdigest, held), np.uint64, len(held)).view(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [b.column("doc_id").take(row), b.column("key").take(row), part.field("at"), part.field("reps"), part.field("gram"),
+                             pa.array(digest), pa.array(held, pa.binary())], names=names)
+                        held, weight, first = [], 0, z
 
     found = docs.join(wanted, same("doc_id", "w_id") & (F.col("key") == F.col("w_key"))).select("doc_id", "key", "text", "want")
-    out = saved(found.mapInArrow(fetch, "doc_id bigint, key bigint, at bigint, gram bigint, digest bigint, seg binary"), "segments", "zstd")
+    out = saved(found.mapInArrow(fetch, "doc_id bigint, key bigint, at bigint, reps int, gram bigint, digest bigint, seg binary"), "segments", "zstd")
     discard(wanted)
     return out
 
@@ -167,7 +188,7 @@ def distinct_segments(found: DataFrame, with_first: bool) -> DataFrame:
     """Stored table of distinct segments: gram, digest, n (how often it occurs), at (of any), seg, and first (its first place)."""
     first = [F.min(F.struct("doc_id", "key", "at")).alias("first")] if with_first else []
     return saved(found.groupBy("gram", "digest").agg(
-        F.count("*").alias("n"), F.first("at").alias("at"), F.first("seg").alias("seg"), *first), "distinct-segments", "zstd")
+        F.sum("reps").alias("n"), F.first("at").alias("at"), F.first("seg").alias("seg"), *first), "distinct-segments", "zstd")
 
 
 def crowds(distinct: DataFrame, crowded: int) -> tuple[DataFrame, DataFrame]:
@@ -224,7 +245,7 @@ def single_windows(rows: DataFrame, slices, window: int) -> DataFrame:
             for a in range(0, len(segs), 200):
                 n = count[a:a + 200]
                 row = pa.array(np.repeat(np.arange(a, a + len(n), dtype=np.int32), n))
-                ws = [xxhash.xxh3_128_digest(x) for s, m in zip(segs[a:a + 200], n.tolist()) for x in slices(s, np.arange(m), np.arange(m) + window)]
+                ws = [xxhash.xxh3_128_digest(x) for s, m in zip(segs[a:a + 200], n.tolist()) for x in slices(s)(np.arange(m), np.arange(m) + window)]
                 j = np.concatenate([np.arange(m, dtype=np.int32) for m in n])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("gram").take(row), b.column("digest").take(row), pa.array(j), pa.array(ws, pa.binary())], names=["gram", "digest", "j", "w"])
@@ -241,18 +262,18 @@ def covered(start: np.ndarray, count: np.ndarray, n: int, window: int) -> np.nda
 def finished(docs: DataFrame, hits: DataFrame, finish, results: dict[str, str]) -> DataFrame:
     """doc_id and ``results`` (name: type) of ``finish(text, starts, counts)`` for every row of ``docs``.
 
-    ``hits`` has doc_id, key, at and gone (which windows of the segment; null: all).
+    ``hits`` has doc_id, key, at, reps (equal segments from there on) and gone (which windows of the segment; null: all of all).
     """
-    per = hits.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "gone")).alias("hits")).toDF("h_id", "h_key", "hits")
+    per = hits.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", "reps", "gone")).alias("hits")).toDF("h_id", "h_key", "hits")
     rows = docs.join(per, same("doc_id", "h_id") & (F.col("key") == F.col("h_key")), "left").select(
-        "doc_id", "text", F.coalesce("hits", F.array().cast("array<struct<at:bigint,gone:array<int>>>")).alias("hits"))
+        "doc_id", "text", F.coalesce("hits", F.array().cast("array<struct<at:bigint,reps:int,gone:array<int>>>")).alias("hits"))
     kinds = {"bigint": pa.int64(), "string": pa.string()}
 
     def run(batches):
         for b in batches:
             h = b.column("hits")
             marks, bound = h.flatten(), (h.offsets.to_numpy() - h.offsets[0].as_py()).tolist()
-            at, lists = marks.field("at").to_numpy(), marks.field("gone")
+            at, reps, lists = marks.field("at").to_numpy(), marks.field("reps").to_numpy(), marks.field("gone")
             whole = lists.is_null().to_numpy(zero_copy_only=False)
             js = lists.flatten().to_numpy()
             size = np.where(whole, 0, lists.value_lengths().fill_null(0).to_numpy())
@@ -262,7 +283,7 @@ def finished(docs: DataFrame, hits: DataFrame, finish, results: dict[str, str])
                 s = slice(bound[i], bound[i + 1])
                 w, a, m = whole[s], at[s], size[s]
                 single = np.repeat(start_of(a), m) + js[ends[s][0] - m[0]:ends[s][-1]] if len(a) else a
-                out.append(finish(t, np.concatenate([start_of(a)[w], single]), np.concatenate([count_of(a)[w], np.ones(len(single), np.int64)])))
+                out.append(finish(t, np.concatenate([start_of(a)[w], single]), np.concatenate([(count_of(a) * reps[s])[w], np.ones(len(single), np.int64)])))
             cols = list(zip(*out)) or [()] * len(results)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *[pa.array(c, kinds[k]) for c, k in zip(cols, results.values())]], names=["doc_id", *results])
