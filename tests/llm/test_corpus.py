@@ -255,6 +255,45 @@ def test_suffix_dedup_over_chunk_ends(spark, monkeypatch):
     assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_bytes(rows, 40)
 
 
+def periodic_rows():
+    """Texts of short period, alone, inside others, cut at other places, and repeated."""
+    r = random.Random(21)
+    noise = lambda n: "".join(r.choice("abcd ") for _ in range(n))
+    rows = [(1, "a" * 900), (2, noise(50) + "a" * 41 + noise(30)), (3, "ab" * 300), (4, "b" + "ab" * 200 + "c"), (5, "abc " * 150), (6, "c " + "abc " * 60 + noise(80)),
+            (7, noise(300)), (8, "abcdefg " * 80 + "abcdefg"), (9, "a" * 40), (10, "a" * 39), (11, "q" * 100), (12, noise(20) + "z" * 60 + noise(20)),
+            (13, "x y " * 100), (14, "y " * 90), (14, "y " * 90), (15, noise(100) * 3), (None, "ab" * 60), (16, "one two three four " * 40), (17, "two three four one " * 30 + "end")]
+    return rows + [(100 + i, "".join(r.choice("ab") * r.randint(1, 60) for _ in range(20))) for i in range(6)]
+
+
+def test_suffix_dedup_of_short_periods(spark, monkeypatch):
+    rows = periodic_rows()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = suffix_dedup.suffix_dedup(df, 40, 8)
+    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_bytes(rows, 40)
+
+
+def test_long_texts_of_short_period_are_few_segments():
+    text = b"a" * 10_000_000
+    found = [len(x[0]) for x in superwindows.segment_runs(np.frombuffer(text, np.uint8), 200, 32)]
+    assert sum(found) <= 2 * len(found) and len(found) == -(-len(text) // superwindows.CHUNK)
+    for unit in (b"ab", b"the end ", bytes(range(97, 120)) * 3):
+        symbols = np.frombuffer(unit * 20_000, np.uint8)
+        start, count, _, _, repeats = superwindows.segments(symbols, 200, 32)
+        assert len(start) < 200 and (count * repeats).sum() == len(symbols) - 199
+        ends = start + count * repeats
+        assert (ends[:-1] == start[1:]).all()
+
+
+def test_ten_million_equal_bytes(spark):
+    rows = [(1, "a" * 10_000_000), (2, "b" + "a" * 200), (3, "a" * 199), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix_dedup.suffix_dedup(df).collect()}
+    assert got == {1: (10_000_000, 10_000_000, 1), 2: (201, 200, 1), 3: (199, 0, 0), 4: (0, 0, 0)}
+    words_ = spark.createDataFrame([(1, "a " * 1_000_000), (2, "b " + "a " * 20), (3, "a " * 19)], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substring_dedup.substring_dedup(words_).collect()}
+    assert got == {1: (1_000_000, 999_999), 2: (21, 20), 3: (19, 0)}
+
+
 # --- 5
 def brute_words(rows, k):
     seen, out = set(), []
@@ -283,6 +322,13 @@ def test_substring_dedup(spark, corpus, crowded, shard):
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_words(rows, 20)
 
 
+@pytest.mark.parametrize("window,gram", [(20, 4), (6, 2)])
+def test_substring_dedup_of_short_periods(spark, window, gram):
+    rows = periodic_rows()
+    got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), window, gram)
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_words(rows, window)
+
+
 def test_index_counts_patterns():
     r = np.random.default_rng(3)
     sizes = r.integers(5, 30, 60)
