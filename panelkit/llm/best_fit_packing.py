@@ -240,8 +240,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> Da
 def best_fit_packing(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """Tokenise ``docs`` (doc_id, text) and pack the pieces: doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset.
 
-    A null or empty text is the end id alone. Repeated rows are packed as often; null doc_ids stay null; other
-    columns are ignored.
+    A null or empty text is the end id alone; a text of any length is tokenised whole by one task and cut. Repeated rows are
+    packed as often; null doc_ids stay null; other columns are ignored.
     """
     cut = saved(pieces(docs, path or tokens.default_path(), capacity, keep_ids=keep_ids), "pieces")
     return pack(cut, capacity)
@@ -252,5 +252,9 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the pieces of all documents with their sequences."""
+    """Pipeline stage: the pieces of all documents with their sequences.
+
+    Null and empty texts are the end id alone, repeated rows are packed as often, null ids stay null, ties of length are
+    placed by the row; an empty table gives an empty result, other columns are left out.
+    """
     return best_fit_packing(docs)

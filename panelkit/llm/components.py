@@ -39,7 +39,8 @@ def connected(edges: DataFrame) -> DataFrame:
     """``id`` (every vertex of an edge) and ``component`` (smallest vertex reachable) of bigint edges (a, b).
 
     Each partition first shrinks its edges to a forest; then every vertex moves to the smallest label next to it and
-    on to that label's own label, until nothing changes. All tables lie in the shared folder.
+    on to that label's own label, until nothing changes. All tables lie in the shared folder. Vertices must not be null;
+    repeated edges and loops do no harm, a vertex that has only a loop is not listed, no edges give no rows.
     """
     forest = saved(edges.select("a", "b").mapInArrow(_forest, "a bigint, b bigint").distinct(), "forest")
     both = saved(forest.union(forest.select("b", "a")).toDF("id", "other"), "edges")

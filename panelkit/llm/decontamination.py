@@ -142,7 +142,8 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, masks=MASKS, overl
     A passage is ``overlap`` aligned words (all words of a shorter item) of which ``similarity`` or more are equal;
     ``masks_for`` adds to ``masks`` so that each is found, so an item of one word meets every document with that word.
     The benchmark is the stated query set: it is read in blocks of about ``block_words`` words, each broadcast and held
-    against all documents, so its size is not limited. Null and empty texts match nothing. A pair comes once, at
+    against all documents, so its size is not limited. Null and empty texts match nothing, texts of any
+    length are searched whole by one task. A pair comes once, at
     its best overlap; repeated rows of an id come once. Null ids are kept as ids; other columns are ignored. Empty
     tables give an empty result.
     """
@@ -194,7 +195,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that share a passage with a benchmark item go."""
+    """Pipeline stage: documents that share a passage with a benchmark item go.
+
+    Null and empty texts stay; all rows of an id go together, also those of a null id; an empty table or benchmark drops nothing;
+    all columns pass through.
+    """
     found = benchmark_overlaps(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     bad = found.select("doc_id").distinct()
     return docs.alias("d").join(bad.alias("b"), F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")), "left_anti")

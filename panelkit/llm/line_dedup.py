@@ -134,7 +134,7 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_constant: float =
     lines of fields only, stay.
     Null texts stay null with no lines; repeated rows are treated alike; an empty table gives an empty result; the
     other columns pass through, ``n_lines`` and ``n_dropped`` are replaced if present. Lines and texts are matched
-    by 64-bit hashes.
+    by 64-bit hashes. A text of any length is split whole; its line places are gathered in one row.
     """
     lines = saved(_lines(docs), "lines")
     templates = saved(line_templates(docs, lines, min_docs, min_constant), "line-candidates")
@@ -151,7 +151,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: lines of recurring templates go; ``n_chars`` follows the text."""
+    """Pipeline stage: lines of recurring templates go; ``n_chars`` follows the text.
+
+    No document goes: null and empty texts, repeated rows and null ids stay as they are or lose lines like others; columns
+    named n_lines and n_dropped are left out, others pass through.
+    """
     out = line_dedup(docs.drop("n_lines", "n_dropped"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

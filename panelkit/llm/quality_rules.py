@@ -108,7 +108,8 @@ def quality_rules(docs: DataFrame, rules=RULES) -> DataFrame:
     """``row`` (struct of the row of ``docs``), ``measures``, ``base_failed``, ``failed`` (rule names) and ``kept``.
 
     ``docs`` needs a column ``text``; other columns, of whatever name, stay inside ``row``. A null text counts as no
-    words and fails the base rule; rows that repeat are judged alike; an empty table gives an empty result.
+    words and fails the base rule; rows that repeat are judged alike; an empty table gives an empty result. A text of any
+    length is measured whole, by one task, with some 100 bytes a word.
     """
     q = F.col("measures")
     out = measure(docs).select("row", F.col("_q").alias("measures"))
@@ -126,7 +127,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that a rule rejects go."""
+    """Pipeline stage: documents that a rule rejects go.
+
+    Null and empty texts go, repeated rows are judged alike, null ids are ids like others; an empty table stays empty, all
+    columns pass through.
+    """
     return quality_rules(docs).where("kept").select("row.*")
 
 

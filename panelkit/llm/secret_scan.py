@@ -186,7 +186,7 @@ def secret_scan(docs: DataFrame, rules=RULES) -> DataFrame:
 
     Null and empty texts have no spans. Postings and candidates are kept by the text's hash, so repeated rows and
     ids do not matter; a hash that two texts share only adds a candidate. An empty table gives an empty result; a
-    column named ``spans`` is replaced, others pass through.
+    column named ``spans`` is replaced, others pass through. A text of any length is searched whole, by one task.
     """
     queries = {kind: trigram_query(head + value) for kind, head, value, _ in rules}
     needed = sorted(set().union(*[_trigrams(q) for q in queries.values()]))

@@ -172,7 +172,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int =
     Needs columns doc_id and text; others are ignored. Null, empty and blank texts have fingerprint 0 and link like
     any other. Repeated rows come back as often; a null doc_id is in its component but never names it unless no
     other is there (then null). An empty table gives an empty result. Copies meet as one fingerprint before any
-    pairing, so a group of copies of any size costs one probe.
+    pairing, so a group of copies of any size costs one probe. A text of any length is hashed whole, by one task.
     """
     fps = saved(fingerprints(docs, shingle), "fingerprints")
     nodes = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
@@ -194,6 +194,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document that names it stays (repeated rows of that id stay together)."""
+    """Pipeline stage: of each component the document that names it stays.
+
+    Null, empty and blank texts are one component, of which one document stays. Rows of one id stay together, also where
+    their texts differ; a null id stays only where its component has no other. An empty table stays empty, all columns pass through.
+    """
     keep = simhash_dedup(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.alias("d").join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")

@@ -109,6 +109,7 @@ def url_filter(pages: DataFrame, rules=RULES, smoothing: float = SMOOTHING) -> D
     Needs page_id, url and html; a null url or one without ``://`` has an empty host and path and is judged by the
     class shares alone; null html counts no words; repeated rows are trained on and judged as often as they come; ties
     and an empty training set give ``allow``; an empty table gives an empty result. Every decided url trains the model.
+    Urls of any length are taken whole.
     """
     host, path = url_parts(F.col("url"))
     out = pages.select(F.struct("*").alias("row"), host.alias("host"), path.alias("path"))
