@@ -237,7 +237,7 @@ def min_floor_blend(spark, sf):
     return blended_predictions(spark, sf).orderBy(F.col("prediction").desc(), "name", "team").limit(25)
 
 
-@query("F1 M10", "name team prediction:num", _BLEND + ", r AS (SELECT * FROM bl)")
+@query("F1", "name team prediction:num", _BLEND + ", r AS (SELECT * FROM bl)")
 def top_predictions(spark, sf):
     return blended_predictions(spark, sf).orderBy(F.col("prediction").desc(), "name", "team")
 
