@@ -263,7 +263,7 @@ def _fit_cell(matrix: DataFrame, name: str, make, target: str, cutoff: int, wind
         return [Cell(name, target, cutoff, w, None, None, None, n_train, n, f"{type(e).__name__}: {e}"[:200]) for w, n in tests.items() if n]
 
 
-def run_grid(matrix: DataFrame, models: dict, targets: list[str], cutoffs: list[int], windows: list[int], side_by_side: int = 4) -> DataFrame:
+def run_grid(matrix: DataFrame, models: dict, targets: list[str], cutoffs: list[int], windows: list[int], side_by_side: int = 12) -> DataFrame:
     """Rolling-origin back-test of MLlib estimators: metrics of each model, target, cutoff and window, failures as rows with ``error``.
 
     ``matrix`` is stored once (``feature_matrix``); rows are counted for the whole grid in one scan. Fits run side by side, each
