@@ -111,13 +111,13 @@ def latest_named(spark, sf):
     return ingest.latest_named(spark, [f"{root}/none", f"{root}/first", f"{root}/second"])
 
 
-@query("A12", "name team minutes:num threat:num", "SELECT name, team, minutes, threat FROM v_panel WHERE GW = 20")
+@query("A12", "name team GW:int minutes:num threat:num", "SELECT name, team, GW, minutes, threat FROM v_panel")
 def sink_predictions(spark, sf):
     """Written twice, read back."""
     path = f"{shared_dir(spark)}/predictions-{uuid.uuid4().hex}"
-    rows = panel(spark, sf).where("GW = 20")
+    rows = panel(spark, sf)
     for part in (rows.where("minutes > 30"), rows):
-        ingest.write_predictions(part, path, ["name", "team", "not_there", "minutes", "threat"], ["-minutes", "name", "seq"])
+        ingest.write_predictions(part, path, ["name", "team", "not_there", "GW", "minutes", "threat"], ["-minutes", "name", "seq"])
     return spark.read.option("header", True).csv(path)
 
 
