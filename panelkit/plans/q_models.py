@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelkit.operators import features, models, report
 from panelkit.plans.catalogue import query
 from panelkit.plans.views import panel, table, wide_panel
-from panelkit.shared import saved
+from panelkit.shared import saved, spread
 
 
 def _hash(keys: str, seed: int) -> str:
@@ -92,7 +92,7 @@ _X = [f"x{i}" for i in range(_DIM)]
 
 def _parts(spark, sf):
     rows = models.feature_vector(_vectors(spark, sf), _X).withColumn("train", models.split(None, ["vec_id"])).drop(*_X)
-    return rows.where("train"), rows.where("NOT train")
+    return spread(rows.where("train"), 1000), rows.where("NOT train")
 
 
 @query("M4 M10 M11", "mae:num rmse:num r2:num n:int")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators import features, models, prepare, regression, report
 from panelkit.plans import catalogue
+from panelkit.shared import spread
 
 SF = "/root/testdata/sf0.001"
 
@@ -222,6 +223,32 @@ def test_forests_beat_the_mean(spark):
     assert len(table_) == 64 and math.isclose(sum(r["importance"] for r in table_), 1.0, abs_tol=1e-6)
 
 
+# --- where rows lie
+def tasks(df):
+    return df.groupBy(F.spark_partition_id().alias("task")).count().count()
+
+
+def test_weights_leave_rows_in_their_tasks(spark):
+    rows = spark.range(4000).select("id", (F.col("id") % 10 == 0).cast("double").alias("label")).repartition(4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = models.balanced_weights(rows)
+        assert tasks(out) == 4 and out.count() == 4000
+        assert {(r["label"], r["weight"]) for r in out.select("label", "weight").distinct().collect()} == {(1.0, 5.0), (0.0, 4000 / 7200)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_of_one_task_are_spread(spark):
+    one = spark.range(0, 10000, 1, 1)
+    out = spread(one, 1000)
+    assert tasks(out) == 4 and out.agg(F.count_distinct("id"), F.sum("id")).first() == (10000, 49995000)
+    even = spark.range(0, 10000, 1, 4)
+    for df, least in ((even, 1000), (one, 10000), (one.limit(0), 1000)):
+        assert spread(df, least) is df
+
+
 # --- prepared features
 def test_the_lists_have_their_lengths():
     assert {k: len(v) for k, v in models.FEATURES.items()} == {"goals": 15, "assists": 12, "cards": 10, "bonus": 18, "clean_sheets": 7, "backtest": 4, "comparison": 5}
