@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from itertools import product
+from threading import Condition
 from typing import NamedTuple
 
 import numpy as np
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import hash_unit
 from panelkit.operators.clean import available
-from panelkit.shared import saved
+from panelkit.shared import discard, saved, spread
 
 # Fixed by the models: feature lists.
 FEATURES = {
@@ -90,7 +92,7 @@ def forest_regressor(trees=200, leaf=5, depth=8, features="sqrt", seed=42, label
     """Random forest. The models' sizes: goals 200 trees and leaf 5, assists 300 and 10, bonus 300 and 5, clean sheets 500 and 30 with all features."""
     from pyspark.ml.regression import RandomForestRegressor
 
-    return RandomForestRegressor(numTrees=trees, minInstancesPerNode=leaf, maxDepth=depth, featureSubsetStrategy=features, seed=seed, labelCol=label)
+    return RandomForestRegressor(numTrees=trees, minInstancesPerNode=leaf, maxDepth=depth, featureSubsetStrategy=features, seed=seed, labelCol=label, cacheNodeIds=True)
 
 
 def forest_classifier(trees=400, leaf=20, depth=8, seed=42, label="label"):
@@ -242,20 +244,57 @@ CELLS = "model string, target string, cutoff int, window int, mae double, rmse d
 
 
 def feature_matrix(df: DataFrame, targets: list[str], features: list[str]) -> DataFrame:
-    """Stored rows GW, the targets and the vector of features; rows that lack a feature are left out."""
+    """Stored rows GW, the targets and the vector of features, each period in all files where there are many; rows that lack a feature are left out."""
     rows = df.select("GW", *[F.col(t).cast("double").alias(f"y_{t}") for t in targets], *[F.col(f).cast("double").alias(f"x_{f}") for f in features])
     rows = feature_vector(rows.dropna(subset=["GW", *[f"x_{f}" for f in features]]), [f"x_{f}" for f in features])
-    return saved(rows.select("GW", *[F.col(f"y_{t}").alias(t) for t in targets], "features"), "matrix")
+    matrix = saved(rows.select("GW", *[F.col(f"y_{t}").alias(t) for t in targets], "features"), "matrix")
+    even = spread(matrix, 25000, 0.0)  # even files may still have one period each
+    if even is matrix:
+        return matrix
+    out = saved(even, "matrix")
+    discard(matrix)
+    return out
 
 
-def _fit_cell(matrix: DataFrame, name: str, make, target: str, cutoff: int, windows: list[int], counts: dict) -> list[Cell]:
+class Room:
+    """Lets callers in while what they need together is no more than ``size``; one that needs more goes in alone."""
+
+    def __init__(self, size: float):
+        self.size, self.taken, self.changed = size, 0.0, Condition()
+
+    @contextmanager
+    def take(self, need: float):
+        need = min(need, self.size)
+        with self.changed:
+            self.changed.wait_for(lambda: self.taken + need <= self.size)
+            self.taken += need
+        try:
+            yield
+        finally:
+            with self.changed:
+                self.taken -= need
+                self.changed.notify_all()
+
+
+#: Bytes for each core that rows kept by fits side by side may take.
+CORE_BYTES = 500e6
+
+
+def _row_bytes(estimator) -> int:
+    """About what MLlib keeps of a row during a fit: bins and residuals, for a forest a count and two sets of node ids for each tree."""
+    return 250 + (12 * estimator.getNumTrees() if estimator.hasParam("numTrees") else 0)
+
+
+def _fit_cell(matrix: DataFrame, name: str, make, target: str, cutoff: int, windows: list[int], counts: dict, room: Room) -> list[Cell]:
     """One fit on GW <= cutoff, scored once for all windows."""
     n_train, tests = counts[target, cutoff], {w: counts[target, cutoff, w] for w in windows}
     if not n_train or not any(tests.values()):
         return []
     try:
         rows = matrix.where(F.col(target).isNotNull()).select("GW", "features", F.col(target).alias("label"))
-        model = make().fit(rows.where(F.col("GW") <= cutoff))
+        estimator = make()
+        with room.take(n_train * _row_bytes(estimator)):
+            model = estimator.fit(rows.where(F.col("GW") <= cutoff))
         scored = model.transform(rows.where((F.col("GW") > cutoff) & (F.col("GW") <= cutoff + max(windows)))).select("GW", "label", "prediction")
         grid = F.explode(F.array(*map(F.lit, windows))).alias("window")
         found = error_metrics(scored.select("*", grid).where(F.col("GW") <= F.col("window") + cutoff), "label", "prediction", ("window",)).collect()
@@ -269,7 +308,7 @@ def run_grid(matrix: DataFrame, models: dict, targets: list[str], cutoffs: list[
 
     ``matrix`` is stored once (``feature_matrix``); rows are counted for the whole grid in one scan. Fits run side by side, each
     distributed and in a pool of its own, so that the fair scheduler (``spark.scheduler.mode``) lets them share the
-    cluster. Cells without train or test rows are left out.
+    cluster; with many rows fewer run at once, so that what MLlib keeps of them stays in memory. Cells without train or test rows are left out.
     """
     spark = matrix.sparkSession
     train = [((t, c), F.count_if((F.col("GW") <= c) & F.col(t).isNotNull())) for t in targets for c in cutoffs]
@@ -277,11 +316,12 @@ def run_grid(matrix: DataFrame, models: dict, targets: list[str], cutoffs: list[
     found = matrix.agg(*[x.alias(str(i)) for i, (_, x) in enumerate(train + test)]).first()
     counts = {k: found[i] for i, (k, _) in enumerate(train + test)}
     jobs = list(product(models.items(), targets, cutoffs))
+    room = Room(CORE_BYTES * spark.sparkContext.defaultParallelism)
 
     def work(job):
         (name, make), target, cutoff = job
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{name}-{target}-{cutoff}")
-        return _fit_cell(matrix, name, make, target, cutoff, windows, counts)
+        return _fit_cell(matrix, name, make, target, cutoff, windows, counts, room)
 
     with ThreadPoolExecutor(max_workers=side_by_side) as pool:
         cells = [c for out in pool.map(inheritable_thread_target(spark)(work), jobs) for c in out]

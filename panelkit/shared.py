@@ -39,14 +39,14 @@ def saved(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return out
 
 
-def spread(df: DataFrame, least: int) -> DataFrame:
-    """The rows over as many tasks as run at once, ``least`` or more in each; ``df`` itself where none of its tasks holds more than twice such a share.
+def spread(df: DataFrame, least: int, uneven: float = 2.0) -> DataFrame:
+    """The rows over as many tasks as run at once, ``least`` or more in each; ``df`` itself where none of its tasks holds more than ``uneven`` such shares.
 
     For work that is long for each row: few files or a filter may leave all rows in a few tasks.
     """
     rows = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]  # one row for each task
     tasks = min(df.sparkSession.sparkContext.defaultParallelism, sum(rows) // least)
-    return df if tasks < 2 or max(rows) <= 2 * sum(rows) / tasks else df.repartition(tasks)
+    return df if tasks < 2 or max(rows) <= uneven * sum(rows) / tasks else df.repartition(tasks)
 
 
 def discard(table: DataFrame) -> None:

@@ -3,6 +3,8 @@
 import io
 import math
 import random
+import time
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import redirect_stdout
 
 import numpy as np
@@ -249,6 +251,32 @@ def test_rows_of_one_task_are_spread(spark):
         assert spread(df, least) is df
 
 
+def test_matrix_has_each_period_in_all_tasks(spark):
+    rows = spark.range(0, 60000, 1, 3).select((F.floor(F.col("id") / 20000) + 1).cast("int").alias("GW"), F.col("id").cast("double").alias("x"), (F.col("id") % 5).alias("y"))
+    out = models.feature_matrix(rows, ["y"], ["x"])
+    early = out.where("GW <= 1")
+    assert tasks(early) == 2 and early.groupBy(F.spark_partition_id()).count().agg(F.min("count")).first()[0] > 8000
+    assert out.agg(F.count("*"), F.sum("y"), F.sum("GW")).first() == (60000, 120000.0, 120000)
+
+
+def test_room_bounds_what_runs_at_once():
+    room, seen, most = models.Room(10.0), [], []
+
+    def work(need):
+        with room.take(need):
+            seen.append(need)
+            most.append(sum(seen))
+            time.sleep(0.02)
+            seen.remove(need)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(work, [3, 4, 5, 6, 10, 2, 4, 6]))
+    assert len(most) == 8 and max(most) <= 10 and room.taken == 0
+    with room.take(99):  # alone
+        assert room.taken == 10
+    assert models._row_bytes(models.forest_regressor(trees=100)) > models._row_bytes(models.boosted_regressor()) and models.forest_regressor().getCacheNodeIds()
+
+
 # --- prepared features
 def test_the_lists_have_their_lengths():
     assert {k: len(v) for k, v in models.FEATURES.items()} == {"goals": 15, "assists": 12, "cards": 10, "bonus": 18, "clean_sheets": 7, "backtest": 4, "comparison": 5}
