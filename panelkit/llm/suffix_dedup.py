@@ -55,16 +55,15 @@ def column_rounds(columns: Path, n: int, rounds: int, folder: Path, limit: int):
     ``columns`` holds the symbols (uint16, 0: none) by round. ``order`` lists the strings by the suffix that starts at
     the round's column, ``prefixes`` has what each shares with the one before it, up to ``limit``.
     """
-    old, new = folder / "old", folder / "new"
-    for f in (old, new):
-        f.mkdir()
-    np.arange(n, dtype=np.int32).tofile(old / "order")
-    np.zeros(n, np.int16).tofile(old / "prefix")
-    with open(columns, "rb") as symbols:
-        column = np.fromfile(symbols, np.uint16, n)
-        column.tofile(old / "bwt")  # the symbols in front of the empty suffixes
+    # opened once and written over in place: a file cut to nothing and written anew is flushed to the disk when it is closed
+    with open(columns, "rb") as symbols, open(folder / "old", "w+b", 0) as old, open(folder / "new", "w+b", 0) as new:
+        column = np.fromfile(symbols, np.uint16, n)  # the symbols in front of the empty suffixes
+        for state in (np.arange(n, dtype=np.int32), np.zeros(n, np.int16), column):
+            state.tofile(old)
         for r in range(rounds):
-            order, prefix, bwt = (np.fromfile(old / f, t) for f, t in (("order", np.int32), ("prefix", np.int16), ("bwt", np.uint16)))
+            old.seek(0)
+            new.seek(0)
+            order, prefix, bwt = (np.fromfile(old, t, n) for t in (np.int32, np.int16, np.uint16))
             put = np.argsort(bwt, kind="stable")  # symbol by symbol, each in the order of the suffixes behind it
             symbol = bwt[put]
             shared = np.zeros(n, np.int16)
@@ -73,9 +72,8 @@ def column_rounds(columns: Path, n: int, rounds: int, folder: Path, limit: int):
                 shared[at] = np.minimum(_range_minima(prefix, put[at - 1], put[at]) + 1, limit)
             order = order[put]
             column = np.fromfile(symbols, np.uint16, n) if r + 1 < rounds else np.zeros(n, np.uint16)
-            order.tofile(new / "order")
-            shared.tofile(new / "prefix")
-            column[order].tofile(new / "bwt")
+            for state in (order, shared, column[order]):
+                state.tofile(new)
             yield r, order, shared
             old, new = new, old
 

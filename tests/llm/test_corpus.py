@@ -1,4 +1,6 @@
+import builtins
 import hashlib
+import io
 import itertools
 import math
 import random
@@ -243,6 +245,32 @@ def test_suffix_dedup(spark, corpus, crowded, shard):
     assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_bytes(rows, 200)
 
 
+def test_column_rounds_open_no_file_anew(monkeypatch):
+    """A state file that is cut and written anew in each round is flushed to the disk each time it is closed."""
+    r = random.Random(5)
+    opened, plain = [], open
+    for module in (builtins, io):  # numpy takes io.open
+        monkeypatch.setattr(module, "open", lambda *a, **k: opened.append(a) or plain(*a, **k))
+    rounds_opened = []
+    for window, gram in ((12, 4), (48, 16)):
+        strings, shifts = [], []
+        for _ in range(60):  # side by side at the anchor, each with up to window - gram + 1 windows around it
+            left = r.randint(0, window - gram)
+            right = r.randint(window - gram - left, window - gram)
+            strings.append(r.choice([b"ab" * window, b"ba" * window])[:left] + bytes(range(100, 100 + gram)) + (r.choice(b"xyz").to_bytes() * 2 + b"uv" * window)[:right])
+            shifts.append(left)
+        count = np.array([min(len(s) - window, k) + 1 for s, k in zip(strings, shifts)])
+        strings = [s[:c + window - 1] for s, c in zip(strings, count)]
+        at = superwindows._packed(np.zeros(60, np.int64), count, np.array(shifts))
+        opened.clear()
+        got = suffix_dedup.repeated_windows(np.frombuffer(b"".join(strings), np.uint8), at, window, gram)
+        rounds_opened.append(len(opened))
+        seen = Counter((j - k, s[j:j + window]) for s, k, c in zip(strings, shifts, count) for j in range(c))
+        want = [(i, j) for i, (s, k, c) in enumerate(zip(strings, shifts, count)) for j in range(c) if seen[j - k, s[j:j + window]] > 1]
+        assert sorted(zip(*(x.tolist() for x in got))) == want and 0 < len(want) < count.sum()
+    assert rounds_opened[0] == rounds_opened[1] < 10
+
+
 def test_suffix_dedup_over_chunk_ends(spark, monkeypatch):
     r = random.Random(8)
     text = "".join(r.choice("abcd") for _ in range(3000))
