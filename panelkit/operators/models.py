@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from itertools import product
 from threading import Condition
 from typing import NamedTuple
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import hash_unit
+from panelkit.operators import trees
 from panelkit.operators.clean import available
-from panelkit.shared import discard, saved, spread
+from panelkit.shared import discard, in_threads, saved, spread
 
 # Fixed by the models: feature lists.
 FEATURES = {
@@ -285,16 +284,19 @@ def _row_bytes(estimator) -> int:
     return 250 + (12 * estimator.getNumTrees() if estimator.hasParam("numTrees") else 0)
 
 
-def _fit_cell(matrix: DataFrame, name: str, make, target: str, cutoff: int, windows: list[int], counts: dict, room: Room) -> list[Cell]:
-    """One fit on GW <= cutoff, scored once for all windows."""
+def _fit_cell(matrix: DataFrame, name: str, estimator, model, target: str, cutoff: int, windows: list[int], counts: dict, room: Room) -> list[Cell]:
+    """One fit on GW <= cutoff, unless there is a model, scored once for all windows; an exception in place of either is the cell's failure."""
     n_train, tests = counts[target, cutoff], {w: counts[target, cutoff, w] for w in windows}
     if not n_train or not any(tests.values()):
         return []
     try:
+        for x in (estimator, model):
+            if isinstance(x, Exception):
+                raise x
         rows = matrix.where(F.col(target).isNotNull()).select("GW", "features", F.col(target).alias("label"))
-        estimator = make()
-        with room.take(n_train * _row_bytes(estimator)):
-            model = estimator.fit(rows.where(F.col("GW") <= cutoff))
+        if model is None:
+            with room.take(n_train * _row_bytes(estimator)):
+                model = estimator.fit(rows.where(F.col("GW") <= cutoff))
         scored = model.transform(rows.where((F.col("GW") > cutoff) & (F.col("GW") <= cutoff + max(windows)))).select("GW", "label", "prediction")
         grid = F.explode(F.array(*map(F.lit, windows))).alias("window")
         found = error_metrics(scored.select("*", grid).where(F.col("GW") <= F.col("window") + cutoff), "label", "prediction", ("window",)).collect()
@@ -306,7 +308,8 @@ def _fit_cell(matrix: DataFrame, name: str, make, target: str, cutoff: int, wind
 def run_grid(matrix: DataFrame, models: dict, targets: list[str], cutoffs: list[int], windows: list[int], side_by_side: int = 12) -> DataFrame:
     """Rolling-origin back-test of MLlib estimators: metrics of each model, target, cutoff and window, failures as rows with ``error``.
 
-    ``matrix`` is stored once (``feature_matrix``); rows are counted for the whole grid in one scan. Fits run side by side, each
+    ``matrix`` is stored once (``feature_matrix``); rows are counted for the whole grid in one scan. Forests and boosting over all features
+    are grown together from binned rows (``trees``). Other fits run side by side, each
     distributed and in a pool of its own, so that the fair scheduler (``spark.scheduler.mode``) lets them share the
     cluster; with many rows fewer run at once, so that what MLlib keeps of them stays in memory. Cells without train or test rows are left out.
     """
@@ -318,13 +321,21 @@ def run_grid(matrix: DataFrame, models: dict, targets: list[str], cutoffs: list[
     jobs = list(product(models.items(), targets, cutoffs))
     room = Room(CORE_BYTES * spark.sparkContext.defaultParallelism)
 
+    def made(make):
+        try:
+            return make()
+        except Exception as e:  # a row of the result, not swallowed
+            return e
+
+    estimators = {(name, target, cutoff): made(make) for (name, make), target, cutoff in jobs}
+    grown = trees.train(matrix, {(name, t, c): (e, t, c, counts[t, c]) for (name, t, c), e in estimators.items()
+                                 if counts[t, c] and any(counts[t, c, w] for w in windows)})
+
     def work(job):
-        (name, make), target, cutoff = job
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{name}-{target}-{cutoff}")
-        return _fit_cell(matrix, name, make, target, cutoff, windows, counts, room)
+        (name, _), target, cutoff = job
+        return _fit_cell(matrix, name, estimators[name, target, cutoff], grown.get((name, target, cutoff)), target, cutoff, windows, counts, room)
 
-    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
-        cells = [c for out in pool.map(inheritable_thread_target(spark)(work), jobs) for c in out]
+    cells = [c for out in in_threads(spark, work, jobs, side_by_side) for c in out]
     return spark.createDataFrame(cells, CELLS)
 
 

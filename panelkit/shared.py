@@ -5,7 +5,9 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,22 @@ def spread(df: DataFrame, least: int, uneven: float = 2.0) -> DataFrame:
 
 def discard(table: DataFrame) -> None:
     """Delete a table made by ``saved`` that no later step reads."""
-    spark = table.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.saved_path)
+    discard_folder(table.sparkSession, table.saved_path)
+
+
+def discard_folder(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def in_threads(spark: SparkSession, work, items: list, at_once: int) -> list:
+    """``work`` on each item in threads, each in a scheduler pool of its own; results in the items' order."""
+    def one(item):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", uuid.uuid4().hex)
+        return work(item)
+
+    if not items:
+        return []
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(items)))) as pool:
+        # wrapped one by one: threads of one wrapper share their properties, and so the pool that was named last
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(one), i) for i in items]]

@@ -3,6 +3,7 @@
 import io
 import math
 import random
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import redirect_stdout
@@ -11,9 +12,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.operators import features, models, prepare, regression, report
+from panelkit.operators import features, models, prepare, regression, report, trees
 from panelkit.plans import catalogue
-from panelkit.shared import spread
+from panelkit.shared import in_threads, spread
 
 SF = "/root/testdata/sf0.001"
 
@@ -277,6 +278,101 @@ def test_room_bounds_what_runs_at_once():
     assert models._row_bytes(models.forest_regressor(trees=100)) > models._row_bytes(models.boosted_regressor()) and models.forest_regressor().getCacheNodeIds()
 
 
+# --- trees of grids
+def panel_of(spark, n, parts):
+    """Rows with zeros, negative values, a constant and a yes-or-no feature, ties and missing labels."""
+    i = F.col("id")
+    rows = spark.range(0, n, 1, parts).select(
+        (i % 12 + 1).cast("int").alias("GW"), ((i * 7919) % 1013 - 400).cast("double").alias("a"), ((i * 31) % 17 / 4).alias("b"), F.lit(2.5).alias("c"),
+        ((i * 13) % 5 < 2).cast("double").alias("d"), (F.hash("id") % 1000 / 7.0).alias("e"))
+    y = F.round(F.col("a") / 300 + F.col("b") * F.col("d") + F.col("e") / 90, 2)
+    rows = rows.select("*", y.alias("y"), F.when(F.hash("a", "e") % 9 != 0, F.floor(y)).cast("double").alias("z"))
+    return models.feature_matrix(rows, ["y", "z"], ["a", "b", "c", "d", "e"])
+
+
+def labelled(matrix, target):
+    return matrix.where(F.col(target).isNotNull()).select("GW", "features", F.col(target).alias("label"))
+
+
+@pytest.mark.parametrize("n, parts, alone", [(700, 1, 10**6), (30000, 3, 10**6), (30000, 3, 0)])
+def test_grid_trees_are_mllibs(spark, monkeypatch, n, parts, alone):
+    monkeypatch.setattr(trees, "ALONE", alone)
+    matrix = panel_of(spark, n, parts)
+    estimators = {"forest": models.forest_regressor(trees=6, leaf=3, depth=5, features="all"), "boosted": models.boosted_regressor(rounds=5, depth=4)}
+    fits = {(m, t, c): (e, t, c, labelled(matrix, t).where(F.col("GW") <= c).count()) for m, e in estimators.items() for t, c in (("y", 4), ("z", 9))}
+    got = trees.train(matrix, fits)
+    assert got.keys() == fits.keys()
+    for (m, t, c), model in got.items():
+        early, later = labelled(matrix, t).where(F.col("GW") <= c), labelled(matrix, t).where(F.col("GW") > c)
+        want = [r["prediction"] for r in estimators[m].fit(early).transform(later).collect()]
+        found = [r["prediction"] for r in model.transform(later).collect()]
+        assert len({round(p, 9) for p in found}) > 10 and np.allclose(want, found, rtol=0, atol=1e-9)
+
+
+def test_sums_of_chunks(spark, monkeypatch):
+    """Rows that fill several chunks give the same trees as rows in one."""
+    matrix, found = panel_of(spark, 3000, 2), []
+    for chunk in (1 << 16, 257):
+        monkeypatch.setattr(trees, "CHUNK", chunk)
+        folder = trees._folder(spark)
+        rows = trees.Rows("z", 9, labelled(matrix, "z").where("GW <= 9").count(), 16, 1)
+        binned = trees.write_rows(matrix, [rows], [trees._thresholds(labelled(matrix, "z").where("GW <= 9"), rows.n, 16, 1)], folder)[0]
+        assert sum(binned.parts.values()) == rows.n
+        binned = binned._replace(state=f"{folder}/s")
+        sums = []
+        for part in binned.parts:  # written here with this chunk, and read with it
+            h = trees.boost_parts([part], binned, 0, 0, None, 1.0, np.zeros(1, np.intp), 1)
+            sums.append(h)
+        found.append(sum(sums))
+    assert np.allclose(found[0], found[1], rtol=1e-12, atol=0) and found[0][0, 0].sum() > 1000
+
+
+def test_a_level_of_all_boosted_fits_is_one_job(spark, monkeypatch):
+    monkeypatch.setattr(trees, "ALONE", 0)
+    matrix = panel_of(spark, 900, 2)
+    spark.sparkContext.setJobGroup("levels", "levels")
+    try:
+        grid = models.run_grid(matrix, {"boosted": lambda: models.boosted_regressor(rounds=20, depth=3)}, ["y", "z"], [4, 9], [1]).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("levels"))
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert len(grid) == 4 and all(r["error"] is None for r in grid) and 60 <= jobs < 120  # 4 fits of 20 trees and 3 levels
+
+
+def test_what_mllib_has_to_fit(spark):
+    boosted, forest = models.boosted_regressor, models.forest_regressor
+    assert trees.handles(boosted()) and trees.handles(forest(features="all"))
+    for e in (forest(), boosted(sample=0.8), boosted(columns=0.5), forest(features="all").setMaxBins(300), boosted().setLossType("absolute"),
+              forest(features="all").setBootstrap(False), forest(features="all").setWeightCol("w"), models.forest_classifier(), ValueError("x")):
+        assert not trees.handles(e)
+    one = spark.createDataFrame([(g, float(v), float(v % 3), float("nan") if v == 5 else float(v), 1.0) for g in (1, 2, 3) for v in range(30)],
+                                "GW int, x double, z double, y double, c double")
+    boosted_only = {"boosted": lambda: boosted(rounds=2, depth=2)}
+    bad = models.run_grid(models.feature_matrix(one, ["y", "z"], ["x"]), boosted_only, ["y", "z"], [2], [1]).collect()
+    assert {r["target"]: r["error"] is None for r in bad} == {"y": False, "z": True}  # MLlib takes no NaN
+    flat = models.run_grid(models.feature_matrix(one, ["z"], ["c"]), boosted_only, ["z"], [2], [1]).first()
+    assert flat["error"] is None and math.isclose(flat["mae"], 2 / 3)
+
+
+def test_parts_are_dealt_in_order():
+    parts = {2: 10, 3: 10, 5: 30, 8: 10, 9: 20}
+    for tasks in (1, 2, 3, 5, 9):
+        out = trees.deal(parts, tasks)
+        assert [p for some in out for p in some] == list(parts) and len(out) <= tasks and all(out)
+    assert trees.deal(parts, 9) == [[2], [3], [5], [8], [9]] and max(sum(parts[p] for p in some) for some in trees.deal(parts, 2)) <= 50
+
+
+def test_threads_have_their_pools(spark):
+    gate = threading.Barrier(4)
+
+    def work(x):
+        gate.wait()
+        return x, spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+
+    got = in_threads(spark, work, [1, 2, 3, 4], 4)
+    assert [x for x, _ in got] == [1, 2, 3, 4] and len({pool for _, pool in got}) == 4
+
+
 # --- prepared features
 def test_the_lists_have_their_lengths():
     assert {k: len(v) for k, v in models.FEATURES.items()} == {"goals": 15, "assists": 12, "cards": 10, "bonus": 18, "clean_sheets": 7, "backtest": 4, "comparison": 5}
