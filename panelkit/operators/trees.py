@@ -127,8 +127,8 @@ def draw_bag(spark: SparkSession, path: str, parts: dict[int, int], trees: int,
     """Files with the counts for each task's rows; MLlib draws row by row, for all trees of a row, from seed + task + 1."""
     def one(part, n):
         def write(batches):
-            held, size = [], 0
-            with open(f"{path}-{part}", "wb") as file:
+            held, size, own = [], 0, f"{path}-{part}.{TaskContext.get().taskAttemptId()}"
+            with open(own, "wb") as file:
                 for batch in batches:
                     held.append(batch.column(0).to_numpy().view(np.uint8))
                     size += len(held[-1])
@@ -139,6 +139,7 @@ def draw_bag(spark: SparkSession, path: str, parts: dict[int, int], trees: int,
                 rest = n % CHUNK * trees  # the last value may hold draws beyond the last row
                 if rest:
                     np.ascontiguousarray(np.concatenate(held)[:rest].reshape(-1, trees).T).tofile(file)
+            os.replace(own, f"{path}-{part}")
             yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
         values = spark.range(0, -(-n * trees // PACKED), 1, 1).select(_bag_column(spark, seed + part + 1).alias("draws"))
@@ -186,23 +187,20 @@ def write_rows(matrix: DataFrame, wanted: list[Rows], thresholds: list[list[np.n
     targets = sorted({r.target for r in wanted})
 
     def write(batches):
-        part = TaskContext.get().partitionId()
+        part, own = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         held = [([], []) for _ in wanted]
         size, total, fine = [0] * len(wanted), [0] * len(wanted), [True] * len(wanted)
 
         def flush(i, all_of_it):
             bins, y = np.concatenate(held[i][0], axis=1), np.concatenate(held[i][1])
             at = 0
-            with open(f"{folder}/{i}-{part}.bins", "ab") as b, open(f"{folder}/{i}-{part}.y", "ab") as v:
+            with open(f"{folder}/{i}-{part}.bins.{own}", "ab") as b, open(f"{folder}/{i}-{part}.y.{own}", "ab") as v:
                 while len(y) - at >= CHUNK or all_of_it and at < len(y):
                     np.ascontiguousarray(bins[:, at:at + CHUNK]).tofile(b)
                     y[at:at + CHUNK].tofile(v)
                     at += len(y[at:at + CHUNK])
             held[i], size[i] = ([bins[:, at:]], [y[at:]]), len(y) - at
 
-        for i in range(len(wanted)):
-            for kind in ("bins", "y"):
-                open(f"{folder}/{i}-{part}.{kind}", "wb").close()
         for batch in batches:
             gw = batch.column("GW").to_numpy(zero_copy_only=False)
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
@@ -223,6 +221,9 @@ def write_rows(matrix: DataFrame, wanted: list[Rows], thresholds: list[list[np.n
         for i in range(len(wanted)):
             if size[i]:
                 flush(i, True)
+            if total[i]:
+                for kind in ("bins", "y"):
+                    os.replace(f"{folder}/{i}-{part}.{kind}.{own}", f"{folder}/{i}-{part}.{kind}")
         yield pa.RecordBatch.from_pydict({"i": list(range(len(wanted))), "part": [part] * len(wanted), "n": total, "fine": fine}, schema=pa.schema(
             [("i", pa.int32()), ("part", pa.int32()), ("n", pa.int64()), ("fine", pa.bool_())]))
 
